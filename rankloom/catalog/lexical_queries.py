@@ -56,8 +56,8 @@ def bm25_stored_index(spark, sf):
     """The same search on postings written to and read from the index table."""
     docs = fx.docs(spark, sf)
     path = scratch_path(spark, "index")
-    lx.write_index(lx.fit_lexical(docs), path)
-    return out(lx.bm25_search(lx.open_index(spark, path, docs), fx.title_queries(spark, sf), 10))
+    lx.write_index(lx.fit_lexical(docs), path, buckets=16)
+    return out(lx.bm25_search(lx.open_index(spark, path, docs, buckets=16), fx.title_queries(spark, sf), 10))
 
 
 def exact_k_padding(spark, sf):

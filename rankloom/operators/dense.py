@@ -239,13 +239,13 @@ def _block_scorer(shared, dim: int, k: int, plain_dot: bool, out_schema: T.Struc
                 continue
             ids = np.array(batch.column("doc_id").to_pylist())
             d = _matrix(batch.column("embedding"), dim)
-            sims = np.round(q_matrix @ (d if plain_dot else _unit(d)).T, 9)
+            sims = q_matrix @ (d if plain_dot else _unit(d)).T
             for row, sim in enumerate(sims):
-                keep = _keep_best(sim, ids, k)
+                keep = _keep_best(np.round(sim, 9), ids, k)
                 s, c = sim[keep], ids[keep]
                 if best[row] is not None:
                     s, c = np.concatenate([best[row][0], s]), np.concatenate([best[row][1], c])
-                    again = _keep_best(s, c, k)
+                    again = _keep_best(np.round(s, 9), c, k)
                     s, c = s[again], c[again]
                 best[row] = (s, c)
         for qid, found in zip(q_ids, best):

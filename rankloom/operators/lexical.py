@@ -94,6 +94,7 @@ class LexicalIndex:
     tokenizer_name: str = "tech"
     text_col: str = "content"
     stored: DataFrame | None = field(default=None, repr=False)
+    buckets: int = 0
 
     @property
     def tokenize(self):
@@ -101,7 +102,7 @@ class LexicalIndex:
 
     def all_postings(self) -> DataFrame:
         if self.stored is not None:
-            return self.stored
+            return self.stored.select("doc_id", "dl", "term", "tf")
         return count_terms(self.docs, ["doc_id"], self.tokenize(F.col(self.text_col)))
 
     def matches(self, terms: DataFrame, small: bool) -> DataFrame:
@@ -109,7 +110,12 @@ class LexicalIndex:
         spark = terms.sparkSession
         length_term = spark.range(1).select(F.lit(LENGTH_ROW).alias("term"))
         wanted = terms.select("term").distinct().unionByName(length_term)
-        kept = join_bounded(self.all_postings(), wanted, "term", "left_semi", small_fits=small, salt_by="doc_id")
+        postings = self.all_postings()
+        if self.stored is not None:
+            # at most ``buckets`` numbers come back; the others' folders are never opened
+            used = [r[0] for r in wanted.select(_bucket(self.buckets)).distinct().collect()]
+            postings = self.stored.where(F.col("bucket").isin(used)).select("doc_id", "dl", "term", "tf")
+        kept = join_bounded(postings, wanted, "term", "left_semi", small_fits=small, salt_by="doc_id")
         return materialise(kept.select("doc_id", "dl", "term", "tf"))
 
 
@@ -119,16 +125,21 @@ def fit_lexical(docs: DataFrame, text_col: str = "content", tokenizer_name: str
     return LexicalIndex(docs, tokenizer_name, text_col)
 
 
-def write_index(index: LexicalIndex, path: str, buckets: int = 64) -> None:
-    """Store all postings by term bucket, sorted by term inside each file.
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+
+
+def write_index(index: LexicalIndex, path: str, buckets: int = 256, salts: int = 8) -> None:
+    """Store all postings in one folder per term bucket, sorted by term inside each file.
 
-    A hot term is spread over the files of its bucket by document, and the sort
-    lets a search on few terms skip row groups.
+    A hot term is spread over ``salts`` files of its bucket by document.
     """
     (
         index.all_postings()
-        .withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
-        .repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(16)))
+        .withColumn("bucket", _bucket(buckets))
+        .withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+        .repartition("bucket", "_salt")
+        .drop("_salt")
         .sortWithinPartitions("bucket", "term", "doc_id")
         .write.mode("overwrite")
         .partitionBy("bucket")
@@ -137,11 +148,15 @@ def write_index(index: LexicalIndex, path: str, buckets: int = 64) -> None:
 
 
 def open_index(
-    spark: SparkSession, path: str, docs: DataFrame, tokenizer_name: str = "tech", text_col: str = "content"
+    spark: SparkSession,
+    path: str,
+    docs: DataFrame,
+    tokenizer_name: str = "tech",
+    text_col: str = "content",
+    buckets: int = 256,
 ) -> LexicalIndex:
     """Index whose postings come from ``write_index``; ``docs`` only pads short results."""
-    stored = spark.read.parquet(path).select("doc_id", "dl", "term", "tf")
-    return LexicalIndex(docs, tokenizer_name, text_col, stored)
+    return LexicalIndex(docs, tokenizer_name, text_col, spark.read.parquet(path), buckets)
 
 
 def fill_to_k(run: DataFrame, queries: DataFrame, docs: DataFrame, k: int, base: Column | None = None) -> DataFrame:
