@@ -43,7 +43,7 @@ def encode_plugged(spark, sf):
 
 
 def normalise(spark, sf):
-    scaled = fx.vectors(spark, sf).withColumn("embedding", F.transform("embedding", lambda x: x * 3 + 1))
+    scaled = fx.vectors(spark, sf).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * 3 + 1))
     return long_vectors(de.l2_normalize(scaled), "doc_id")
 
 
@@ -136,7 +136,7 @@ ORACLE = {
 FROM bq CROSS JOIN (SELECT unnest(range(64)) AS i) g LEFT JOIN h USING (qid, i)""",
     "d1_encode_plugged_model": """SELECT doc_id, length(text) AS n_chars,
   CAST(length(text) - length(translate(text, 'aeiou', '')) AS BIGINT) AS n_vowels FROM documents""",
-    "d2_normalise": f"""WITH v AS ({_long('embedding')}), s AS (SELECT doc_id, i, v * 3 + 1 AS v FROM v)
+    "d2_normalise": f"""WITH v AS ({_long('embedding')}), s AS (SELECT doc_id, i, v::DOUBLE * 3 + 1 AS v FROM v)
 SELECT doc_id, CAST(i AS INTEGER) AS i, round(v::DOUBLE / sqrt(sum(v::DOUBLE * v::DOUBLE) OVER (PARTITION BY doc_id)), 6) AS v FROM s""",
     "d3_truncate_dims": f"""WITH s AS ({_long('embedding', 48)})
 SELECT doc_id, CAST(i AS INTEGER) AS i, round(v::DOUBLE / sqrt(sum(v::DOUBLE * v::DOUBLE) OVER (PARTITION BY doc_id)), 6) AS v FROM s""",

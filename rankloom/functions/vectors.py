@@ -20,7 +20,8 @@ def norm(v: Column | str) -> Column:
 
 
 def scale(v: Column | str, divisor: Column | str) -> Column:
-    return F.transform(as_double(v), lambda x: x / _col(divisor))
+    d = _col(divisor)
+    return F.transform(as_double(v), lambda x: x / d)
 
 
 def truncate_dims(v: Column | str, dims: int | None) -> Column:

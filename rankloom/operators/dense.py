@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rankloom.functions.arrays import let, run_lengths
 from rankloom.functions.text import null_to_empty, tech_tokens
 from rankloom.functions.vectors import MIN_NORM, norm, scale, truncate_dims
 from rankloom.operators.common import top_k
@@ -30,33 +31,19 @@ def hash_encode(df: DataFrame, text_col: str = "content", dim: int = DEFAULT_DIM
     Works inside the row: token codes are sorted and counted as runs, so no token
     leaves its task. A stand-in for a neural encoder, which callers plug in below.
     """
-    digest = lambda t: F.md5(t.cast("binary"))
     bucket = lambda h: F.pmod(F.conv(F.substring(h, 1, 4), 16, 10).cast("int"), F.lit(dim))
     positive = lambda h: (F.substring(h, 5, 1) < "8").cast("int")
-    hashes = df.withColumn("_h", F.transform(tech_tokens(text_col), digest))
-    codes = hashes.withColumn("_h", F.sort_array(F.transform("_h", lambda h: bucket(h) * 2 + positive(h))))
-    starts = codes.withColumn(
-        "_b",
-        F.when(F.size("_h") == 0, F.array().cast("array<int>")).otherwise(
-            F.filter(
-                F.sequence(F.lit(0), F.size("_h") - 1),
-                lambda i: (i == 0) | (F.get(F.col("_h"), i) != F.get(F.col("_h"), i - 1)),
-            )
-        ),
-    )
-    runs = F.transform(
-        "_b",
-        lambda p, j: F.struct(
-            F.get(F.col("_h"), p).alias("code"), (F.coalesce(F.get(F.col("_b"), j + 1), F.size("_h")) - p).alias("n")
-        ),
-    )
-    counted = starts.withColumn("_m", F.map_from_entries(runs))
-    count_of = lambda code: F.coalesce(F.try_element_at(F.col("_m"), code), F.lit(0))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: (count_of(i * 2 + 1) - count_of(i * 2)).cast("double"),
-    )
-    return counted.withColumn(out, dense).drop("_h", "_b", "_m")
+    code = lambda t: let(F.md5(t.cast("binary")), lambda h: bucket(h) * 2 + positive(h))
+    codes = F.sort_array(F.transform(tech_tokens(text_col), code))
+
+    def dense(counts: Column) -> Column:
+        count_of = lambda c: F.coalesce(F.try_element_at(counts, c), F.lit(0))
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(dim - 1)),
+            lambda i: (count_of(i * 2 + 1) - count_of(i * 2)).cast("double"),
+        )
+
+    return df.withColumn(out, let(F.map_from_entries(run_lengths(codes)), dense))
 
 
 def encode_texts(
@@ -90,7 +77,9 @@ def encode_texts(
 
 def l2_normalize(df: DataFrame, col: str = "embedding") -> DataFrame:
     """Unit length; the zero vector stays zero."""
-    return df.withColumn("_n", F.greatest(norm(col), F.lit(MIN_NORM))).withColumn(col, scale(col, "_n")).drop("_n")
+    length = lambda v: F.greatest(norm(v), F.lit(MIN_NORM))
+    unit = let(F.col(col), lambda v: let(length(v), lambda n: scale(v, n)))
+    return df.withColumn(col, unit)
 
 
 def dimension_ranges(df: DataFrame, col: str = "embedding") -> Column:
@@ -117,27 +106,28 @@ def quantize(df: DataFrame, precision: str, col: str = "embedding") -> DataFrame
     v = F.col(col).cast("array<double>")
     if precision in ("int8", "uint8"):
         shift = 128 if precision == "int8" else 0
-        ranged = df.withColumn("_r", dimension_ranges(df, col)).withColumn("_v", v)
-        step = lambda i: (F.get(F.col("_r.hi"), i) - F.get(F.col("_r.lo"), i)) / QUANTISE_STEPS
-        level = F.transform(
-            "_v",
-            lambda x, i: F.when(step(i) == 0, F.lit(-shift)).otherwise(
-                ((x - F.get(F.col("_r.lo"), i)) / step(i) - shift).cast("int")
-            ),
-        )
-        return ranged.withColumn(col, level).drop("_r", "_v")
-    bits = df.withColumn("_v", F.transform(v, lambda x: (x > 0).cast("int")))
+
+        def levels(r: Column) -> Column:
+            def level(x: Column, i: Column) -> Column:
+                low, high = F.get(r["lo"], i), F.get(r["hi"], i)
+                step = (high - low) / QUANTISE_STEPS
+                return F.when(step == 0, F.lit(-shift)).otherwise(((x - low) / step - shift).cast("int"))
+
+            return F.transform(v, level)
+
+        return df.withColumn("_r", dimension_ranges(df, col)).withColumn(col, let(F.col("_r"), levels)).drop("_r")
     shift = 128 if precision == "binary" else 0
-    packed = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size("_v") / 8).cast("int") - 1),
-        lambda b: F.aggregate(
+
+    def packed(bits: Column) -> Column:
+        n_bytes = F.ceil(F.size(bits) / 8).cast("int")
+        byte = lambda b: F.aggregate(
             F.sequence(F.lit(0), F.lit(7)),
             F.lit(0),
-            lambda acc, i: acc * 2 + F.coalesce(F.get(F.col("_v"), b * 8 + i), F.lit(0)),
+            lambda acc, i: acc * 2 + F.coalesce(F.get(bits, b * 8 + i), F.lit(0)),
         )
-        - shift,
-    )
-    return bits.withColumn(col, packed).drop("_v")
+        return F.transform(F.sequence(F.lit(0), n_bytes - 1), lambda b: byte(b) - shift)
+
+    return df.withColumn(col, let(F.transform(v, lambda x: (x > 0).cast("int")), packed))
 
 
 def unit_norm_check(df: DataFrame, col: str = "embedding", tolerance: float = UNIT_NORM_TOLERANCE) -> DataFrame:

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rankloom.functions.arrays import run_lengths
 from rankloom.functions.text import tokenizer
 from rankloom.operators.common import fits_broadcast, join_bounded, materialise, top_k
 
@@ -39,25 +40,10 @@ def count_terms(df: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
     Tokens are sorted inside the row and counted as runs; ``dl`` is the number of
     tokens. The length row has the empty term and ``tf = 1``.
     """
-    sorted_tokens = (
-        df.select(*keys, tokens.alias("_t"))
-        .select(*keys, F.size("_t").alias("dl"), F.sort_array(F.concat(F.array(F.lit(LENGTH_ROW)), "_t")).alias("_s"))
-    )
-    run_starts = sorted_tokens.withColumn(
-        "_b",
-        F.filter(
-            F.sequence(F.lit(0), F.size("_s") - 1),
-            lambda i: (i == 0) | (F.get(F.col("_s"), i) != F.get(F.col("_s"), i - 1)),
-        ),
-    )
-    runs = F.transform(
-        "_b",
-        lambda p, j: F.struct(
-            F.get(F.col("_s"), p).alias("term"),
-            (F.coalesce(F.get(F.col("_b"), j + 1), F.size("_s")) - p).alias("tf"),
-        ),
-    )
-    return run_starts.select(*keys, "dl", F.explode(runs).alias("_r")).select(*keys, "dl", "_r.term", "_r.tf")
+    tokenised = df.select(*keys, tokens.alias("_t"))
+    with_length = F.sort_array(F.concat(F.array(F.lit(LENGTH_ROW)), "_t"))
+    runs = F.explode(run_lengths(with_length, "term", "tf")).alias("_r")
+    return tokenised.select(*keys, F.size("_t").alias("dl"), runs).select(*keys, "dl", "_r.term", "_r.tf")
 
 
 def query_terms(queries: DataFrame, tokenize, text_col: str = "content") -> DataFrame:
