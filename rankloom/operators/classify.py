@@ -38,6 +38,8 @@ NB_ALPHA = 1.0
 HIDDEN_UNITS = 100
 # ----------------------------------------------------------------------------
 
+MIN_ROWS_PER_TASK = 5_000
+
 
 def labelled_texts(docs: DataFrame, queries: DataFrame | None = None, text_col: str = "content") -> DataFrame:
     """Documents and, where given, labelled queries as ``(row_id, text, label)``."""
@@ -238,7 +240,7 @@ class Classifier:
             return NaiveBayes(**common, modelType="multinomial", smoothing=NB_ALPHA, **self.params)
         if self.method == "svc":
             inner = LinearSVC(**common, **{"regParam": inverse_c, "maxIter": 100, "standardization": False, **self.params})
-            return OneVsRest(classifier=inner, **common)
+            return inner if n_classes == 2 else OneVsRest(classifier=inner, parallelism=min(n_classes, 8), **common)
         if self.method == "logreg":
             settings = {"regParam": inverse_c, "maxIter": 100, "standardization": False, **self.params}
             return LogisticRegression(**common, family="multinomial", elasticNetParam=0.0, **settings)
@@ -252,7 +254,9 @@ class Classifier:
         info = train.agg(F.count(F.lit(1)).alias("n")).first()
         width = train.first()["features"].size
         estimator = self._estimator(info["n"], len(classes), width)
-        self._model = estimator.fit(indexer.transform(train))
+        # an iteration over few rows is all task overhead: small inputs use few tasks
+        few = max(1, -(-info["n"] // MIN_ROWS_PER_TASK))
+        self._model = estimator.fit(indexer.transform(train).coalesce(few))
         self._classes = classes
         return self
 
