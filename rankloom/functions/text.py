@@ -15,6 +15,10 @@ SIMPLE_TOKEN_PATTERN = r"(?<![\p{L}\p{N}_])[a-z0-9]+(?![\p{L}\p{N}_])"
 WORD_TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 PUNCTUATION_RUN_PATTERN = r"([!?.]){2,}"
 SPACE_CLASS = r"[\s\x1c-\x1f]"
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 UNKNOWN_CATEGORY = "unknown"
 # ----------------------------------------------------------------------------
 
@@ -24,8 +28,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_space(c: Column | str) -> Column:
-    """Remove Unicode white space at both ends."""
-    return F.regexp_replace(_col(c), rf"(?U)^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    """Remove Unicode white space at both ends; only the ends are looked at."""
+    return F.btrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def null_to_empty(c: Column | str) -> Column:

@@ -215,7 +215,9 @@ def bm25_search(
         idf = F.ln((n_docs + 1) / F.col("df"))
     else:
         raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
-        idf = F.when(raw < 0, _okapi_floor(term_stats(index.all_postings()), n_docs)).otherwise(raw)
+        vocabulary = materialise(term_stats(index.all_postings()))
+        floor = vocabulary.agg(F.first(_okapi_floor(vocabulary, n_docs)).alias("f")).first()["f"] or 0.0
+        idf = F.when(raw < 0, F.lit(floor)).otherwise(raw)
     weighted = (
         terms.join(stats.where(F.col("term") != LENGTH_ROW), "term")
         .select("qid", "term", (F.col("qtf") * idf).alias("w"))
@@ -223,17 +225,43 @@ def bm25_search(
     tf_part = F.col("tf") * (BM25_K1 + 1) / (
         F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / avgdl)
     )
-    best = top_k(_score_pairs(matches, weighted, small, F.col("w") * tf_part), k)
+    scored = _score_pairs(matches, weighted, small, F.col("w") * tf_part)
     if method == "okapi":
-        return _okapi_order(fill_to_k(best, queries, index.docs, k), k)
+        if floor < 0:
+            return _okapi_below_zero(scored, queries, index.docs, k)
+        return fill_to_k(top_k(scored, k), queries, index.docs, k)
+    best = top_k(scored, k)
     base = weighted.groupBy("qid").agg((F.sum("w") * PLUS_DELTA).alias("base"))
     with_base = queries.select("qid").join(base, "qid", "left").withColumn("base", F.coalesce("base", F.lit(0.0)))
     return fill_to_k(best, with_base, index.docs, k, F.col("base"))
 
 
-def _okapi_order(run: DataFrame, k: int) -> DataFrame:
-    """Order matched and unmatched together: a tiny corpus can give matches below zero."""
-    return top_k(run.drop("rank"), k)
+def _okapi_below_zero(scored: DataFrame, queries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Exact order when the mean idf is negative and matches can rank behind non-matches.
+
+    Non-matches score 0 in id order. Enough of the smallest ids are taken that every
+    query finds its first ``k`` non-matches (or all of them) among these; only a
+    vocabulary whose terms mostly sit in more than half of the documents gets here.
+    """
+    scored = materialise(scored)
+    n_docs = docs.count()
+    matched = queries.select("qid").join(scored.groupBy("qid").agg(F.count(F.lit(1)).alias("m")), "qid", "left")
+    need = materialise(matched.select("qid", F.least(F.lit(k), n_docs - F.coalesce("m", F.lit(0))).alias("need")))
+    size = k
+    while True:
+        pool = materialise(docs.select("doc_id").orderBy("doc_id").limit(size))
+        taken = materialise(
+            join_bounded(scored, pool, "doc_id", "left_semi").groupBy("qid").agg(F.collect_set("doc_id").alias("taken"))
+        )
+        rows = need.join(taken, "qid", "left").withColumn("n", F.coalesce(F.size("taken"), F.lit(0)))
+        if size >= n_docs or rows.where(size - F.col("n") < F.col("need")).isEmpty():
+            break
+        size = min(2 * size, n_docs)
+    ids = pool.agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).scalar()
+    free = F.when(F.col("taken").isNull(), ids).otherwise(F.array_except(ids, F.col("taken")))
+    zeros = rows.select("qid", F.explode(F.slice(free, F.lit(1), F.col("need").cast("int"))).alias("doc_id"), F.lit(0.0).alias("score"))
+    candidates = top_k(scored, k).select("qid", "doc_id", "score").unionByName(zeros)
+    return fill_to_k(top_k(candidates, k), queries, docs, k)
 
 
 def _score_pairs(matches: DataFrame, weighted: DataFrame, small: bool, value: Column) -> DataFrame:
@@ -266,12 +294,14 @@ def smoothed_idf(n_docs: Column, df: Column) -> Column:
 def document_weights(model: TfidfModel) -> DataFrame:
     """Unnormalised ``(doc_id, term, w)`` over the full corpus.
 
-    Frequent terms (few, by Zipf most of the postings) meet their idf by broadcast:
-    a term is frequent when it holds more than 1/HOT_TERMS of all postings, so there
-    are at most HOT_TERMS of them. The rest shuffles, and no key there is hot.
+    The dictionary is counted first. One that fits the broadcast limit joins in one
+    narrow pass. A larger one is split: frequent terms (few, by Zipf most of the
+    postings) are broadcast; a term is frequent when it holds more than 1/HOT_TERMS
+    of all postings, so there are at most HOT_TERMS. The rest shuffles, and no key
+    there is hot.
     """
     postings = model.index.all_postings()
-    stats = term_stats(postings)
+    stats = materialise(term_stats(postings))
     totals = stats.agg(
         F.struct(
             F.sum(F.when(F.col("term") == LENGTH_ROW, F.col("df"))).alias("n_docs"),
@@ -283,10 +313,14 @@ def document_weights(model: TfidfModel) -> DataFrame:
         smoothed_idf(totals["n_docs"], F.col("df")).alias("idf"),
         (F.col("df") * HOT_TERMS > totals["n_postings"]).alias("_hot"),
     )
-    hot = F.broadcast(terms.where("_hot").select("term", "idf"))
-    cold = terms.where(~F.col("_hot")).select("term", "idf")
     real = postings.where(F.col("term") != LENGTH_ROW)
-    pieces = real.join(hot, "term").unionByName(real.join(cold, "term"))
+    idf = terms.select("term", "idf")
+    if fits_broadcast(stats.select("term", "df")):
+        pieces = real.join(F.broadcast(idf), "term")
+    else:
+        hot = F.broadcast(terms.where("_hot").select("term", "idf"))
+        cold = terms.where(~F.col("_hot")).select("term", "idf")
+        pieces = real.join(hot, "term").unionByName(real.join(cold, "term"))
     return pieces.select("doc_id", "term", (model.tf_weight() * F.col("idf")).alias("w"))
 
 
