@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -16,7 +15,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
     OneVsRest,
 )
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
