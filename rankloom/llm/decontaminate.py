@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.llm.kernels import ALNUM, LOWER, gram_hashes, ragged, span_hashes, text_slices, word_spans
-from rankloom.llm.tables import doc_rows, join_by, stored
+from rankloom.llm.tables import bloom_words, doc_rows, in_bloom, join_by, stored
 
 SPAN = 10
 GRAM = 6
@@ -51,11 +51,6 @@ def _around(words: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lo), [None, pa.py_buffer(offsets), pa.py_buffer(words[index].tobytes())])
 
 
-def _in_bloom(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bits = hashes % np.uint64(len(bloom) * 64)
-    return (bloom[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) == 1
-
-
 class _Fingerprints:
     """Fingerprints of one slice: window fingerprints have n = span, whole short items n < span."""
 
@@ -81,7 +76,7 @@ class _Fingerprints:
             at = np.unique(_last_min(grams, width)[: len(whole)][whole])
             fp = grams[at]
             if bloom is not None:
-                keep = _in_bloom(bloom, fp)
+                keep = in_bloom(bloom, fp)
                 at, fp = at[keep], fp[keep]
             r = row[at]
             lo = np.maximum(at - (self.span - self.gram), first[r])
@@ -99,7 +94,7 @@ class _Fingerprints:
                 at = np.flatnonzero(ok)
                 fp = gram_hashes(words, n)[at]
                 if bloom is not None:
-                    keep = _in_bloom(bloom, fp)
+                    keep = in_bloom(bloom, fp)
                     at, fp = at[keep], fp[keep]
                 r = row[at]
             out.append((r, np.full(len(at), n), fp, at, at, at))
@@ -189,17 +184,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, *, span: int = SPAN, gram:
     bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bench = stored(bench.mapInArrow(_map_items(span, gram), f"item_id long, {_FIELDS}"), "bench_fingerprints")
     lengths = sorted(r["n"] for r in bench.where(F.col("n") < span).select("n").distinct().collect())
-    # hashes are unsigned in the mapper: the remainder by a power of two is the same for both readings
-    bit = F.col("fp").bitwiseAND(bloom_bits - 1)
-    words = (
-        bench.select(F.shiftright(bit, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast((fp & {bloom_bits - 1}) & 63 as int))").alias("b"))
-        .groupBy("w")
-        .agg(F.bit_or("b").alias("b"))
-        .collect()
-    )
-    bloom = np.zeros(bloom_bits // 64, dtype=np.uint64)
-    if words:
-        bloom[[r["w"] for r in words]] = np.array([r["b"] for r in words], dtype=np.int64).view(np.uint64)
+    bloom = bloom_words(bench, "fp", bloom_bits)
     rows = doc_rows(docs).withColumn("key", F.xxhash64("text"))
     found = rows.mapInArrow(_map_docs(span, gram, lengths, bloom), f"doc_id long, key long, n_words long, hits array<struct<{_FIELDS.replace(' ', ':').replace(',:', ',')}>>")
     found = found.select("doc_id", "key", "n_words", F.explode_outer("hits").alias("h")).select("doc_id", "key", "n_words", "h.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.operators.common import fits_broadcast
@@ -65,3 +66,27 @@ def components(edges: DataFrame) -> DataFrame:
         labels = nxt.select("node", "component")
         if not moved:
             return labels
+
+
+def bloom_words(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bloom filter (one hash) over a column of 64-bit hashes, as ``bits / 64`` words.
+
+    Built by an aggregate; at most ``bits / 64`` rows of 12 bytes reach the driver however many
+    hashes there are, and the filter that tasks receive has ``bits / 8`` bytes.
+    """
+    bit = F.col(column).bitwiseAND(bits - 1)
+    words = (
+        hashes.select(F.shiftright(bit, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("b"))
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+        .collect()
+    )
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    if words:
+        out[[r["w"] for r in words]] = np.array([r["b"] for r in words], dtype=np.int64).view(np.uint64)
+    return out
+
+
+def in_bloom(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bits = hashes & np.uint64(len(bloom) * 64 - 1)
+    return (bloom[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) == 1
