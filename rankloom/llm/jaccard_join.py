@@ -38,6 +38,8 @@ _BLOCK_SLOTS = 1 << 16
 _FLUSH_BYTES = 64 << 20
 LIST_BLOCK = 2048
 _CLASSES = 64
+_SALT_ROWS = 4096
+_POSTING = ["list", "element", "class", "size", "place"]
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +91,16 @@ def _frequency_rows(counts: np.ndarray) -> pa.RecordBatch:
             packed.append(at.astype("<u4").tobytes() + part[at].astype("<i8").tobytes())
     n = len(blocks)
     none = pa.nulls(n, pa.int64())
-    return pa.RecordBatch.from_arrays([none, none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "size", "class", "block", "counts"])
+    return pa.RecordBatch.from_arrays([none, none, none, pa.nulls(n, pa.binary()), pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], _SURVEY)
+
+
+_SURVEY = ["doc_id", "size", "class", "hist", "block", "counts"]
+
+
+def _histograms(r: np.ndarray, g: np.ndarray, n_rows: int) -> pa.Array:
+    """Elements per hash class, 255 at most: a saturated count still bounds differences from below."""
+    hist = np.bincount(r * _CLASSES + (g >> np.uint64(58)).astype(np.int64), minlength=n_rows * _CLASSES)
+    return blobs(np.minimum(hist, 255).astype(np.uint8).tobytes(), np.arange(n_rows + 1) * _CLASSES)
 
 
 def _survey(n: int, slots: int):
@@ -107,10 +118,8 @@ def _survey(n: int, slots: int):
             if read >= _FLUSH_BYTES:
                 yield _frequency_rows(counts)
                 counts[:], read = 0, 0
-            none = pa.nulls(part.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(cls), none, pa.nulls(part.num_rows, pa.binary())], ["doc_id", "size", "class", "block", "counts"]
-            )
+            none = [pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(cls), _histograms(r, g, part.num_rows), *none], _SURVEY)
         yield _frequency_rows(counts)
 
     return run
@@ -141,7 +150,12 @@ def _frequencies(survey: DataFrame, slots: int) -> np.ndarray:
 
 
 def _postings(n: int, percent: int, frequency: np.ndarray):
-    """Prefix elements of each class of a slice, with the size of its set and the element's place."""
+    """Prefix elements of each class of a slice, with the size of its set and the element's place.
+
+    ``list`` is the element, or the element with a salt where its bucket is far above the mean, so
+    that no posting list of a very common element meets in one task.
+    """
+    usual = 2 * int(frequency.mean()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches, "text"):
@@ -157,9 +171,11 @@ def _postings(n: int, percent: int, frequency: np.ndarray):
             place = np.arange(len(r)) - first[r]
             prefix = place < (sizes - (percent * sizes + 99) // 100 + 1)[r]
             r, g, place = r[prefix], g[prefix], place[prefix]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(g.view(np.int64)), pa.array(cls[r]), pa.array(sizes[r].astype(np.int32)), pa.array(place.astype(np.int32))], ["element", "class", "size", "place"]
-            )
+            parts = 1 + np.maximum(frequency[(g & np.uint64(len(frequency) - 1)).astype(np.int64)].astype(np.int64) - usual, 0) // _SALT_ROWS
+            salt = cls[r].view(np.uint64) % parts.astype(np.uint64)
+            lists = np.where(parts > 1, mix(g + salt * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)), g)
+            columns = [lists.view(np.int64), g.view(np.int64), cls[r], sizes[r].astype(np.int32), place.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _POSTING)
 
     return run
 
@@ -187,44 +203,57 @@ def _one(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def _hub_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of lists with several classes, each with the list's first row (its hub).
+    """Rows of lists with several classes (and of salted lists), each with its list's first row, the hub.
 
-    Rows come by element, then place; a list is read as a stream and only its hub is kept.
+    Rows come by list, then place. A list is read as a stream: only its hub and its first row, which
+    is held back until a second one shows that it isn't alone, are kept. Repeated rows are dropped.
     """
-    hub, waiting, seen = None, None, 0
-    names = ["element", "class", "size", "place", "hub", "hub_size", "hub_place"]
+    hub = held = last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        e, c, s, p = (batch.column(k).to_numpy() for k in names[:4])
-        new = np.ones(len(e), dtype=bool)
-        new[1:] = e[1:] != e[:-1]
-        if hub is not None and hub[0] == e[0]:
-            new[0] = False
-        first = np.flatnonzero(new)
-        at = np.cumsum(new) - 1
-        hubs = [np.append(x[first], 0) for x in (c, s, p)]
-        if at[0] < 0:
+        columns = [batch.column(k).to_numpy() for k in _POSTING]
+        new = np.ones(batch.num_rows, dtype=bool)
+        new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[2][1:] != columns[2][:-1])
+        new[0] = last != (columns[0][0], columns[2][0])
+        last = (columns[0][-1], columns[2][-1])
+        columns = [x[new] for x in columns]
+        if held is not None:
+            columns = [np.concatenate([[h], x]).astype(x.dtype) for h, x in zip(held, columns)]
+        lists = columns[0]
+        if not len(lists):
+            continue
+        starts = np.ones(len(lists), dtype=bool)
+        starts[1:] = lists[1:] != lists[:-1]
+        goes_on = held is None and hub is not None and hub[0] == lists[0]
+        starts[0] = not goes_on
+        first, at = np.flatnonzero(starts), np.cumsum(starts) - 1
+        hubs = [np.append(x[first], 0).astype(x.dtype) for x in columns[2:]]
+        if goes_on:  # index -1 is the list that the last batch began
             for x, h in zip(hubs, hub[1:]):
-                x[-1] = h  # index -1: the list that goes on from the last batch
-        h_c, h_s, h_p = (x[at] for x in hubs)
-        several = np.zeros(len(e), dtype=bool)
-        several[:-1] |= e[:-1] == e[1:]
-        several[1:] |= e[1:] == e[:-1]
-        if not new[0]:
-            several[0] = True
-        lead = [pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*waiting, *waiting[1:]), _HUB_KINDS)], names)] if not new[0] and waiting is not None else []
-        waiting = None
-        # a lone last row may have company in the next batch
-        if not several[-1]:
-            waiting = (e[-1], c[-1], s[-1], p[-1])
-        keep = np.flatnonzero(several)
-        yield from lead
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep], t) for x, t in zip((e, c, s, p, h_c, h_s, h_p), _HUB_KINDS)], names)
-        hub = (e[-1], h_c[-1], h_s[-1], h_p[-1])
-
-
-_HUB_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+                x[-1] = h
+        hubs = [x[at] for x in hubs]
+        several = np.zeros(len(lists), dtype=bool)
+        several[:-1] |= lists[:-1] == lists[1:]
+        several[1:] |= lists[1:] == lists[:-1]
+        several[0] |= goes_on
+        held = None if several[-1] else tuple(x[-1] for x in columns)
+        hub = (lists[-1], *(x[-1] for x in hubs))
+        several |= columns[0] != columns[1]
+        if held is not None:
+            several[-1] = False
+        yield _hub_batch([x[several] for x in (*columns, *hubs)])
+    if held is not None and held[0] != held[1]:
+        yield _hub_batch([np.array([x]) for x in (*held, *held[2:])])
+
+
+_HUBS = [*_POSTING, "hub", "hub_size", "hub_place"]
+_HUB_TYPES = "list long, element long, class long, size int, place int, hub long, hub_size int, hub_place int"
+
+
+def _hub_batch(columns: list[np.ndarray]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], _HUBS)
 
 
 def _least_overlap(a, b, percent: int):
@@ -267,17 +296,14 @@ def _across(percent: int):
 
 
 def _elements(n: int):
-    """Class and complete set (sorted) of each row, with the histogram of the suffix filter."""
+    """Class and complete set (sorted) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches, "text"):
             r, g = _sets(data, offsets, n)
             sizes, cls = _classes(r, g, part.num_rows)
-            hist = np.zeros(part.num_rows * _CLASSES, dtype=np.int64)
-            np.add.at(hist, r * _CLASSES + (g >> np.uint64(58)).astype(np.int64), 1)
             packed = blobs(g.tobytes(), np.concatenate([[0], np.cumsum(sizes * 8)]))
-            hists = blobs(np.minimum(hist, 255).astype(np.uint8).tobytes(), np.arange(part.num_rows + 1) * _CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(cls), packed, hists], ["class", "elements", "hist"])
+            yield pa.RecordBatch.from_arrays([pa.array(cls), packed], ["class", "elements"])
 
     return run
 
@@ -297,42 +323,41 @@ def _verify(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of ``pairs`` (class a < class b) whose sets reach the threshold, stored."""
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (class a < class b) whose complete sets reach the threshold, stored."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = ends.join(classes.select("class", F.col("first").alias("doc_id")), "class").select("doc_id").distinct()
+    sets = stored(join_by(rows, wanted, ["doc_id"], "left_semi").mapInArrow(_elements(n), "class long, elements binary"), "jaccard_sets")
     one = pairs.join(sets.select(F.col("class").alias("a"), F.col("elements").alias("left")), "a")
     two = one.join(sets.select(F.col("class").alias("b"), F.col("elements").alias("right")), "b")
-    return stored(two.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long"), "jaccard_links")
+    # an id with several texts may bring a class twice
+    return stored(two.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long").distinct(), "jaccard_links")
 
 
 def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots: int = FREQUENCY_SLOTS, list_block: int = LIST_BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id``: connected components of the links
     ``100 |x & y| >= percent |x | y|``, named by their smallest ``doc_id``."""
     rows = doc_rows(docs)
-    survey = stored(rows.mapInArrow(_survey(n, slots), "doc_id long, size long, class long, block int, counts binary"), "jaccard_survey")
+    survey = stored(rows.mapInArrow(_survey(n, slots), "doc_id long, size long, class long, hist binary, block int, counts binary"), "jaccard_survey")
     members = survey.where("block IS NULL").select("doc_id", "size", "class")
     frequency = _frequencies(survey, slots)
-    classes = stored(members.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")), "jaccard_classes")
-
-    postings = rows.mapInArrow(_postings(n, percent, frequency), "element long, class long, size int, place int")
-    # the same class from several slices posts equal rows; a task meets them side by side
-    lists = (
-        postings.repartition("element")
-        .sortWithinPartitions("element", "place", "size", "class")
-        .mapInArrow(_distinct_rows, "element long, class long, size int, place int")
-        .mapInArrow(_hub_rows, "element long, class long, size int, place int, hub long, hub_size int, hub_place int")
-    )
-    lists = stored(lists, "jaccard_lists")
+    classes = survey.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"), F.first("hist").alias("hist"))
+    classes = stored(classes, "jaccard_classes")
+
+    def hubs(postings: DataFrame, key: str) -> DataFrame:
+        ordered = postings.repartition(key).sortWithinPartitions(key, "place", "size", "class")
+        return ordered.select(F.col(key).alias("list"), "element", "class", "size", "place").mapInArrow(_hub_rows, _HUB_TYPES)
+
+    lists = stored(hubs(rows.mapInArrow(_postings(n, percent, frequency), "list long, element long, class long, size int, place int"), "list"), "jaccard_lists")
+    # the hubs of an element's salted lists meet in a list of their own
+    salted = lists.where("list <> element AND class = hub").select("element", "class", "size", "place")
+    stars = lists.unionByName(hubs(salted, "element"))
     long_enough = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
     overlap = F.ceil(F.lit(percent) * (F.col("size") + F.col("hub_size")) / F.lit(100.0 + percent) - 1e-9)
     near = F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place")) >= overlap
-    stars = lists.where((F.col("class") != F.col("hub")) & long_enough & near)
+    stars = stars.where((F.col("class") != F.col("hub")) & long_enough & near)
     stars = stored(stars.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct(), "jaccard_stars")
-
-    # complete sets of all classes that share an element with another one
-    wanted = lists.select("class").distinct().join(classes.select("class", "first"), "class").select(F.col("first").alias("doc_id"), F.col("class").alias("_class"))
-    picked = join_by(rows, wanted, ["doc_id"], "inner").drop("_class")
-    sets = stored(picked.mapInArrow(_elements(n), "class long, elements binary, hist binary").dropDuplicates(["class"]), "jaccard_sets")
-    links = _verified(_close(stars, sets, classes, percent), sets, percent)
+    links = _verified(stored(_close(stars, classes, percent), "jaccard_close"), rows, classes, n, percent)
     labels = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
     # lists that still hold several components
@@ -349,9 +374,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots:
         .withColumn("list", F.xxhash64("element", F.least("mine", "other"), F.greatest("mine", "other")))
         .withColumn("side", F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2))
     )
-    spread = spread.join(sets.select("class", "hist"), "class").select("list", "class", "label", "size", "place", "side", "hist")
+    spread = spread.join(classes.select("class", "hist"), "class").select("list", "class", "label", "size", "place", "side", "hist")
     pairs = spread.repartition("list").sortWithinPartitions("list").mapInArrow(_across(percent), "a long, b long").distinct()
-    more = _verified(stored(pairs, "jaccard_pairs"), sets, percent)
+    more = _verified(stored(pairs, "jaccard_pairs"), rows, classes, n, percent)
     as_label = labels.select(F.col("node").alias("a"), "component")
     ends = join_by(more, as_label, ["a"], "left").select(F.coalesce("component", "a").alias("src"), "b")
     ends = join_by(ends, as_label.withColumnRenamed("a", "b"), ["b"], "left").select("src", F.coalesce("component", "b").alias("dst"))
@@ -367,11 +392,10 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots:
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _close(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that pass the suffix filter: histograms bound the symmetric difference."""
-    side = sets.select("class", "hist").join(classes.select("class", "size"), "class")
-    one = pairs.join(side.select(F.col("class").alias("a"), F.col("hist").alias("hist_a"), F.col("size").alias("size_a")), "a")
-    two = one.join(side.select(F.col("class").alias("b"), F.col("hist").alias("hist_b"), F.col("size").alias("size_b")), "b")
+    one = pairs.join(classes.select(F.col("class").alias("a"), F.col("hist").alias("hist_a"), F.col("size").alias("size_a")), "a")
+    two = one.join(classes.select(F.col("class").alias("b"), F.col("hist").alias("hist_b"), F.col("size").alias("size_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,17 +407,3 @@ def _close(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     return two.select("a", "b", "hist_a", "hist_b", "size_a", "size_b").mapInArrow(run, "a long, b long")
-
-
-def _distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop rows equal to the one before, across batches."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        e, c = batch.column("element").to_numpy(), batch.column("class").to_numpy()
-        new = np.ones(len(e), dtype=bool)
-        new[1:] = (e[1:] != e[:-1]) | (c[1:] != c[:-1])
-        new[0] = last != (e[0], c[0])
-        last = (e[-1], c[-1])
-        yield batch.filter(pa.array(new))
