@@ -6,6 +6,7 @@ small multiple of the slice, whatever the size of the batch or the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,16 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLI
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are kept, and many tasks share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("decontaminate_query", "pii_query", "jaccard_join_query", "toxicity_query", "byte_bpe_query")
+MODULES = (
+    "decontaminate_query",
+    "pii_query",
+    "jaccard_join_query",
+    "toxicity_query",
+    "byte_bpe_query",
+    "token_files_query",
+)
 
 
 def _merged(attribute: str) -> dict:

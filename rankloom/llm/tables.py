@@ -19,9 +19,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on the session's Arrow batches hold ``BATCH_BYTES`` at most.
+
+    Ten thousand long texts in one batch would otherwise lie in the JVM and in the worker at once.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = df.sparkSession.conf.get(setting).rstrip("b")
+    if not have.isdigit() or int(have) > BATCH_BYTES:
+        df.sparkSession.conf.set(setting, str(BATCH_BYTES))
+    return df
+
+
 def doc_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text`` only: whatever other columns are called, they can't clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
 def join_by(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -189,7 +189,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 terms |= {w[:n] for w in words if len(w) > n}
             counts[toxic].update(terms)
             rows += 1
-            if rows % 500 == 0:
+            if rows % 100 == 0:
                 yield _counted(counts)
     yield _counted(counts)
 
