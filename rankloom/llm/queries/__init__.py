@@ -11,6 +11,7 @@ MODULES = (
     "toxicity_query",
     "byte_bpe_query",
     "token_files_query",
+    "context_tree_query",
 )
 
 
