@@ -11,6 +11,7 @@ MODULES = (
     "product_quantiser_query",
     "toxicity_query",
     "byte_bpe_query",
+    "repeated_spans_query",
     "token_files_query",
     "context_tree_query",
 )
