@@ -4,19 +4,19 @@ Base entities are e-mail and IP addresses, payment cards and phone numbers, matc
 non-overlapping per kind; a match that fails its check is dropped.
 
 Terms: each mention of an entity has a context, the ``window`` words on each side. Over the corpus,
-with ``N`` distinct texts, ``n(e)`` distinct texts that hold entity ``e``, ``n(t)`` distinct texts that
-hold term ``t`` and ``n(e,t)`` distinct contexts of ``e`` with ``t``, the share of the information of
-``e`` that ``t`` gives away is
+with ``N`` documents, ``n(e)`` of them holding entity ``e``, ``n(t)`` holding term ``t`` and ``n(e,t)``
+distinct contexts of ``e`` with ``t``, the share of the information of ``e`` that ``t`` gives away is
 
     disclosure(t, e) = log2(N n(e,t) / (n(t) n(e))) / log2(N / n(e))
 
 A term with at least ``min_contexts`` contexts and a disclosure of ``generalise_at`` or more is
 generalised to a placeholder wherever it occurs, from ``remove_at`` on it is removed. Copies of a
-text and copies of a context count once, so copying a page makes none of its words disclosive.
+context count once, so copying a page makes none of its words disclosive.
 
 A context has a fixed number of words, so counting is linear in the mentions; no pairs of documents
-or of terms are formed. Only terms that reach ``min_contexts`` are counted over all texts, found
-through a Bloom filter of fixed size and then joined exactly.
+or of terms are formed. Terms that reach ``min_contexts`` are counted over all texts, summed in each
+task; only occurrences of disclosive terms become rows. Both scans know their terms by a Bloom filter
+of fixed size, and exact joins follow.
 
 Null and empty texts have no spans. Documents with the same id and text are one row in
 ``find_spans``; ``sanitise`` keeps every row. Ids may be null. Extra columns are kept by ``sanitise``
@@ -182,21 +182,43 @@ def _find_terms(bloom: np.ndarray):
     return run
 
 
+def _count_terms(bloom: np.ndarray):
+    """Documents of the task that hold each term of the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for _, data, offsets in text_slices(batches, "text"):
+            lower = LOWER[data]
+            starts, ends, row = word_spans(lower, offsets, ALNUM)
+            words = span_hashes(lower, starts, ends)
+            hit = np.flatnonzero(in_bloom(bloom, words) & (ends - starts >= MIN_TERM_BYTES))
+            order = hit[np.lexsort((words[hit], row[hit]))]
+            r, w = row[order], words[order]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
+            terms, at = np.unique(np.concatenate([terms, w[new]]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([counts, np.ones(int(new.sum()), np.int64)]), minlength=len(terms)).astype(np.int64)
+            if len(terms) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
+                terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
+
+    return run
+
+
 def _found(docs: DataFrame, window: int, min_contexts: int, generalise_at: float, remove_at: float, bloom_bits: int) -> tuple[DataFrame, DataFrame]:
     """Base rows of all documents, and ``doc_id, key, terms`` of those with disclosive terms."""
     rows = doc_rows(docs).withColumn("key", F.xxhash64("text"))
     base = stored(rows.mapInArrow(_find_base(window), _BASE_TYPES), "pii_base")
-    mentions = base.select("key", F.explode("contexts").alias("x")).select("key", "x.*")
+    mentions = base.select("doc_id", "key", F.explode("contexts").alias("x")).select("doc_id", "key", "x.*")
     pairs = mentions.select("e", "t", "c").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_contexts)
     pairs = stored(pairs, "pii_pairs")
-    n_e = mentions.select("e", "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    occurrences = stored(
-        rows.mapInArrow(_find_terms(bloom_words(pairs, "t", bloom_bits)), "doc_id long, key long, t long, starts array<int>, ends array<int>"), "pii_occurrences"
-    )
-    n_t = occurrences.select("t", "key").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
-    n = base.select("key").distinct().count()
-    pmi = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
-    information = F.log2(F.lit(float(n)) / F.col("n_e"))
+    n_e = mentions.select("e", "doc_id", "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    counted = rows.mapInArrow(_count_terms(bloom_words(pairs, "t", bloom_bits)), "t long, n long")
+    n_t = counted.groupBy("t").agg(F.sum("n").alias("n_t"))
+    n = float(base.count())
+    pmi = F.log2(F.lit(n) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
+    information = F.log2(F.lit(n) / F.col("n_e"))
     flagged = (
         pairs.join(n_e, "e")
         .join(n_t, "t")
@@ -206,6 +228,7 @@ def _found(docs: DataFrame, window: int, min_contexts: int, generalise_at: float
         .where(F.col("disclosure") >= generalise_at)
     )
     flagged = stored(flagged, "pii_flagged")
+    occurrences = rows.mapInArrow(_find_terms(bloom_words(flagged, "t", bloom_bits)), "doc_id long, key long, t long, starts array<int>, ends array<int>")
     terms = (
         join_by(occurrences, flagged, ["t"], "inner")
         .select("doc_id", "key", (F.col("disclosure") >= remove_at).alias("gone"), F.explode(F.arrays_zip("starts", "ends")).alias("p"))
