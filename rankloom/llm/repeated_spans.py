@@ -37,8 +37,11 @@ LENGTH = 50
 GRAM = 24
 SHARD_BYTES = 8 << 20
 _PART = 1 << 20
-_RECORD = np.dtype([("gram", "<u8"), ("rank", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
-_FIELDS = tuple(_RECORD.names)
+# of a gram's hash 40 bits travel besides its shard: it only brings positions together; of a rank's, 48
+_RECORD = np.dtype(
+    [("gram4", "<u4"), ("gram1", "u1"), ("rank4", "<u4"), ("rank2", "<u2"), ("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")]
+)
+_FIELDS = ("gram", "rank", "doc", "tag", "pos", "left", "right")
 _SPAN = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("stop", "<u4")])
 _EDGE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
 _WINDOW = np.dtype([("rank", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4")])
@@ -134,7 +137,10 @@ def _survey(length: int, gram: int, shards: int, doc_shards: int):
             settled = np.zeros(len(order), dtype=bool)
             settled[order] = d > lowest
             live = {k: found[k][~settled] for k in _FIELDS}
-            rows = [(0, s, raw) for s, raw in _split(live, _RECORD, (live["gram"] % np.uint64(shards)).astype(np.int64), shards)]
+            shard = (live["gram"] % np.uint64(shards)).astype(np.int64)
+            live |= {"gram4": live["gram"] >> np.uint64(32), "gram1": (live["gram"] >> np.uint64(24)) & np.uint64(255)}
+            live |= {"rank4": live["rank"] >> np.uint64(32), "rank2": (live["rank"] >> np.uint64(16)) & np.uint64(0xFFFF)}
+            rows = [(0, s, raw) for s, raw in _split(live, _RECORD, shard, shards)]
             rows += [(1, s, raw) for s, raw in _spans({k: found[k][settled] for k in _FIELDS}, length, doc_shards)]
             yield _rows(rows)
 
@@ -158,7 +164,11 @@ def _settle(length: int, doc_shards: int):
     """One shard: spans of repeated records (kind 1), and records whose windows must be compared (kind 2)."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("kind")[0].as_py() == 1:  # settled where they were read
+            return table.select(["kind", "shard", "packed"])
         all_ = unpack(table.column("packed").to_pylist(), _RECORD)
+        all_["gram"] = (all_.pop("gram4").astype(np.uint64) << np.uint64(8)) | all_.pop("gram1")
+        all_["rank"] = (all_.pop("rank4").astype(np.uint64) << np.uint64(16)) | all_.pop("rank2")
         order = np.lexsort((all_["doc"], all_["rank"], all_["gram"]))
         rec = {k: v[order] for k, v in all_.items()}
         g, r, d = rec["gram"], rec["rank"], rec["doc"]
@@ -290,13 +300,13 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, s
     shards = int(total // shard_bytes) + 8
     named = rows.where("doc_id IS NOT NULL")
     kinds = "kind int, shard int, packed binary"
-    survey = stored(named.mapInArrow(_survey(length, gram, shards, shards), kinds), "repeats_survey")
-    settled = stored(survey.where("kind = 0").groupBy("shard").applyInArrow(_settle(length, shards), kinds), "repeats_settled")
+    survey = named.mapInArrow(_survey(length, gram, shards, shards), kinds)
+    settled = stored(survey.groupBy("kind", "shard").applyInArrow(_settle(length, shards), kinds), "repeats_settled")
     edges = settled.where("kind = 2").groupBy("shard").applyInArrow(_edges_by_doc, "doc_id long, tag long, edges binary")
     edges = stored(edges, "repeats_edges")
     windows = join_by(named, edges, ["doc_id", "tag"], "inner").mapInArrow(_windows(length, shards), kinds)
     compared = windows.groupBy("shard").applyInArrow(_settle_windows(length, shards), kinds)
-    spans = survey.where("kind = 1").unionByName(settled.where("kind = 1")).unionByName(compared)
+    spans = settled.where("kind = 1").unionByName(compared)
     merged = stored(spans.groupBy("shard").applyInArrow(_merge, "doc_id long, tag long, starts array<int>, stops array<int>"), "repeats_merged")
     return join_by(rows, merged, ["doc_id", "tag"], "left").select("doc_id", "text", "starts", "stops").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, starts array<int>, stops array<int>"
