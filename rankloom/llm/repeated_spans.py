@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.llm.kernels import _BASE, _BYTE_VALUE, _INVERSE, blobs, give_back, mix, powers, ragged, text_slices
@@ -44,20 +45,28 @@ _RECORD = np.dtype(
 _FIELDS = ("gram", "rank", "doc", "tag", "pos", "left", "right")
 _SPAN = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("stop", "<u4")])
 _EDGE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1")])
+_PLACE = np.dtype([("pos", "<u4"), ("left", "u1"), ("right", "u1")])
+_RANGE = np.dtype([("start", "<u4"), ("stop", "<u4")])
+_PLACES = {"pos", "start", "stop"}
 _WINDOW = np.dtype([("rank", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("pos", "<u4")])
 
 
 def pack(records: dict[str, np.ndarray], kind: np.dtype, at: np.ndarray | slice) -> bytes:
-    """Columns one after the other: runs of a document compress well."""
-    return b"".join(np.ascontiguousarray(records[k][at], dtype=kind[k]).tobytes() for k in kind.names)
+    """Columns one after the other, places as differences, compressed: runs of a document cost little."""
+    columns = [np.ascontiguousarray(records[k][at], dtype=kind[k]) for k in kind.names]
+    raw = [np.diff(c, prepend=c.dtype.type(0)) if k in _PLACES else c for k, c in zip(kind.names, columns)]
+    return zstandard.ZstdCompressor(level=1, write_content_size=True).compress(b"".join(c.tobytes() for c in raw))
 
 
 def unpack(packed: list[bytes], kind: np.dtype) -> dict[str, np.ndarray]:
     parts: dict[str, list[np.ndarray]] = {k: [] for k in kind.names}
-    for raw in packed:
+    plain = zstandard.ZstdDecompressor()
+    for one in packed:
+        raw = plain.decompress(one)
         n, at = len(raw) // kind.itemsize, 0
         for k in kind.names:
-            parts[k].append(np.frombuffer(raw, kind[k], n, at))
+            column = np.frombuffer(raw, kind[k], n, at)
+            parts[k].append(np.cumsum(column, dtype=kind[k]) if k in _PLACES else column)
             at += n * kind[k].itemsize
     return {k: np.concatenate(v) if v else np.zeros(0, kind[k]) for k, v in parts.items()}
 
@@ -202,7 +211,7 @@ def _edges_by_doc(table: pa.Table) -> pa.Table:
     new[1:] = (rec["doc"][1:] != rec["doc"][:-1]) | (rec["tag"][1:] != rec["tag"][:-1])
     first = np.flatnonzero(new)
     bounds = np.append(first, len(order))
-    packed = [pack(rec, _EDGE, slice(lo, hi)) for lo, hi in zip(bounds[:-1], bounds[1:])]
+    packed = [pack(rec, _PLACE, slice(lo, hi)) for lo, hi in zip(bounds[:-1], bounds[1:])]
     return pa.table({"doc_id": rec["doc"][first], "tag": rec["tag"][first].astype(np.int64), "edges": pa.array(packed, pa.binary())})
 
 
@@ -215,7 +224,7 @@ def _windows(length: int, shards: int):
             for part, data, offsets in text_slices(iter([batch]), "text", _PART):
                 ranks, docs, tags, places = [], [], [], []
                 for i, packed in enumerate(part.column("edges").to_pylist()):
-                    e = unpack([packed], _EDGE)
+                    e = unpack([packed], _PLACE)
                     n = e["left"].astype(np.int64) - e["right"] + 1
                     first = e["pos"].astype(np.int64) - e["left"]
                     at = np.arange(int(n.sum())) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
@@ -264,14 +273,10 @@ def _merge(table: pa.Table) -> pa.Table:
     ends = (reach - base)[np.append(first[1:], len(doc)) - 1]
     docs = np.flatnonzero(new[first])
     counts = np.diff(np.append(docs, len(first)))
-    return pa.table(
-        {
-            "doc_id": doc[first][docs],
-            "tag": tag[first][docs],
-            "starts": ragged(start[first].astype(np.int32), counts, pa.int32()),
-            "stops": ragged(ends.astype(np.int32), counts, pa.int32()),
-        }
-    )
+    found = {"start": start[first], "stop": ends}
+    bounds = np.append(docs, len(first))
+    packed = [pack(found, _RANGE, slice(lo, hi)) for lo, hi in zip(bounds[:-1], bounds[1:])]
+    return pa.table({"doc_id": doc[first][docs], "tag": tag[first][docs], "spans": pa.array(packed, pa.binary())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,14 +284,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed = np.zeros(part.num_rows, dtype=np.int64)
         spans = np.zeros(part.num_rows, dtype=np.int64)
         kept = np.ones(len(data), dtype=bool)
-        for i, (starts, stops) in enumerate(zip(part.column("starts").to_pylist(), part.column("stops").to_pylist())):
-            for lo, hi in zip(starts or (), stops or ()):
+        found = [unpack([x] if x else [], _RANGE) for x in part.column("spans").to_pylist()]
+        for i, ranges in enumerate(found):
+            for lo, hi in zip(ranges["start"].tolist(), ranges["stop"].tolist()):
                 kept[offsets[i] + lo : offsets[i] + hi] = False
                 removed[i] += hi - lo
-            spans[i] = len(starts or ())
+            spans[i] = len(ranges["start"])
         left = np.concatenate([[0], np.cumsum(np.diff(offsets) - removed)])
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), blobs(data[kept].tobytes(), left), part.column("starts"), part.column("stops")],
+            [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), blobs(data[kept].tobytes(), left)]
+            + [ragged(np.concatenate([x[k] for x in found]).astype(np.int32), spans, pa.int32()) for k in ("start", "stop")],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "starts", "stops"],
         )
 
@@ -307,7 +314,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, s
     windows = join_by(named, edges, ["doc_id", "tag"], "inner").mapInArrow(_windows(length, shards), kinds)
     compared = windows.groupBy("shard").applyInArrow(_settle_windows(length, shards), kinds)
     spans = settled.where("kind = 1").unionByName(compared)
-    merged = stored(spans.groupBy("shard").applyInArrow(_merge, "doc_id long, tag long, starts array<int>, stops array<int>"), "repeats_merged")
-    return join_by(rows, merged, ["doc_id", "tag"], "left").select("doc_id", "text", "starts", "stops").mapInArrow(
+    merged = stored(spans.groupBy("shard").applyInArrow(_merge, "doc_id long, tag long, spans binary"), "repeats_merged")
+    return join_by(rows, merged, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, starts array<int>, stops array<int>"
     )
