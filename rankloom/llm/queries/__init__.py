@@ -8,6 +8,7 @@ MODULES = (
     "decontaminate_query",
     "pii_query",
     "jaccard_join_query",
+    "kneser_ney_query",
     "product_quantiser_query",
     "toxicity_query",
     "byte_bpe_query",
