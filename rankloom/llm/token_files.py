@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,37 +56,68 @@ def tokenizer(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
+def _places(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions ``at[i] … at[i] + sizes[i] - 1`` of all runs one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(at - (ends - sizes), sizes)
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their white-space separated parts, which are kept.
 
-    Only for tokenizers that drop white space and never join across it.
+    Only for tokenizers that drop white space and never join across it. The parts kept are a sorted
+    array of hashes with places in one array of ids; beyond ``_CACHE`` of them the half that was in
+    the most slices stays.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.known: dict[int, np.ndarray] = {}
+        self.words = np.zeros(0, np.uint64)
+        self.at, self.sizes, self.seen = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, np.uint32)
+
+    def _find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.words):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return place, self.words[place] == words
+
+    def _forget(self) -> None:
+        keep = np.sort(np.argpartition(-self.seen, _CACHE // 2)[: _CACHE // 2])
+        self.ids = self.ids[_places(self.at[keep], self.sizes[keep])]
+        self.words, self.sizes, self.seen = self.words[keep], self.sizes[keep], self.seen[keep] >> 1
+        self.at = np.cumsum(self.sizes) - self.sizes
+
+    def _learn(self, words: np.ndarray, parts: list[str]) -> None:
+        done = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, done), np.int64, len(done))
+        ids = np.fromiter(chain.from_iterable(done), np.uint32, int(sizes.sum()))
+        at = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, ids])
+        merged = np.concatenate([self.words, words])
+        order = np.argsort(merged, kind="stable")
+        self.words = merged[order]
+        self.at, self.sizes = np.concatenate([self.at, at])[order], np.concatenate([self.sizes, sizes])[order]
+        self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int64)])[order]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and the number of ids of each row."""
         starts, ends, row = word_spans(data, offsets, NON_SPACE)
         words, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        keys = words.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        raw = data.tobytes()
-        parts = [raw[starts[first[i]] : ends[first[i]]].decode("utf-8", "replace") for i in new]
-        for i, done in zip(new, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self.known[keys[i]] = np.array(done.ids, dtype=np.uint32)
-        table = [self.known[k] for k in keys]
-        sizes = np.array([len(x) for x in table], dtype=np.int64)
-        flat = np.concatenate(table) if table else np.zeros(0, np.uint32)
-        at = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else np.zeros(0, np.int64)
-        counts = sizes[inverse]
-        begins = np.concatenate([[0], np.cumsum(counts)])
-        index = np.arange(begins[-1]) + np.repeat(at[inverse] - begins[:-1], counts)
+        if len(self.words) > _CACHE:
+            self._forget()
+        new = np.flatnonzero(~self._find(words)[1])
+        if len(new):
+            raw = data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(words[new], [raw[lo:hi].decode("utf-8", "replace") for lo, hi in spans])
+        place = self._find(words)[0]
+        if len(place):
+            self.seen[place] += 1
+        each = place[inverse]
+        counts = self.sizes[each]
         per_row = np.bincount(row, weights=counts, minlength=len(offsets) - 1).astype(np.int64)
-        return flat[index], per_row
+        return self.ids[_places(self.at[each], counts)], per_row
 
 
 def _encode(path: str, end_id: int, width: int):
