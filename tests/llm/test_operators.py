@@ -267,6 +267,15 @@ def test_kneser_ney(spark, docs):
     df = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en"))
     got = {r.doc_id: r for r in kneser_ney.quality(df, labels, quantile=1.0).collect()}
     assert len(got) == len(rows) and all(got[i].kept for i in range(100, 160)) and not any(got[i].kept for i in range(300, 310))
+    # the shards give what one table of all trusted texts gives, in one task a shard and in many
+    strings = {i: [x[p : p + 5] for x in [bytes(4) + (t or "").encode() + bytes(1)] for p in range(len(x) - 4)] for i, t in rows.items()}
+    whole = sorted((int.from_bytes(k, "big"), n) for k, n in Counter(k for i in range(100, 160) for k in strings[i]).items())
+    tables = kneser_ney.build_tables(np.array([c for c, _ in whole], np.uint64), np.array([n for _, n in whole]), 5)
+    want = {i: math.exp(-np.log(kneser_ney.probabilities(np.array([int.from_bytes(x, "big") for x in k], np.uint64), tables)).mean()) for i, k in strings.items()}
+    model = kneser_ney.fit(df, labels.where("quality = 1").select("doc_id"), 5)
+    split = {r.doc_id: r for r in kneser_ney.perplexities(df.withColumn("text", F.coalesce("text", F.lit(""))), model, 7, pages_per_task=2).collect()}
+    for i in rows:
+        assert math.isclose(got[i].perplexity, want[i], rel_tol=1e-9) and math.isclose(split[i].perplexity, want[i], rel_tol=1e-9)
     # all probabilities of a context sum to one
     counts = Counter(x[p : p + 3] for x in [rows[i].encode() for i in range(100, 130)] for p in range(len(x) - 2))
     codes = sorted((int.from_bytes(k, "big"), n) for k, n in counts.items())
