@@ -131,7 +131,7 @@ ORACLE = {
         src="SELECT hf.*, score * (1 + 1.5 * coalesce(p, 0)) AS s FROM hf LEFT JOIN prob USING (qid, category)",
     ),
     "k4_pair_rerank": sp.with_(sp.DOCS, sp.TITLES, sp.bm25("b", "tq", "50"), f"""pr AS (
-  SELECT b.qid, b.doc_id, rank, {_overlap(sp.tech('tq.content'), sp.tech('substr(docs.content, 1, 512)'))} AS s
+  SELECT b.qid, b.doc_id, rank, {_overlap(sp.tech('tq.content'), sp.tech('docs.content'))} AS s
   FROM b JOIN tq USING (qid) JOIN docs USING (doc_id)),
 kp AS (SELECT * FROM (SELECT qid, doc_id, s, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, doc_id) AS r FROM pr WHERE rank <= 30) WHERE r <= 20),
 al AS (SELECT qid, doc_id, s, 0 AS late, r FROM kp UNION ALL

@@ -143,6 +143,24 @@ def hash_rank(df: DataFrame, group: str, id_col: str, seed: int, rank_col: str =
     )
 
 
+def bucket_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
+    """Exact 1-based rank of every row inside ``group`` by ``bucket`` (nulls last), then ``order``.
+
+    Rows are only sorted inside one value of ``bucket``; the number of rows before it comes from
+    the counted values, so a group of any length is spread over as many tasks as it has values.
+    """
+    keys = [*group, bucket]
+    before = Window.partitionBy(*group).orderBy(F.col(bucket).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counted.select(*[F.col(c).alias(f"_o_{c}") for c in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn("_r", F.row_number().over(inside)).join(offsets, same)
+    return ranked.withColumn(rank_col, (F.col("_before") + F.col("_r")).cast("int")).drop("_r", "_before", *[f"_o_{c}" for c in keys])
+
+
 def attach_docs(run: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Run rows with document columns; the run is the small side, the corpus stays in place."""
     run = materialise(run)

@@ -15,7 +15,6 @@ from rankloom.operators.common import attach_docs, join_bounded
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_BOOST = 1.5
-PAIR_TEXT_CHARS = 512
 PAIR_BATCH = 32
 # ----------------------------------------------------------------------------
 
@@ -89,14 +88,15 @@ def pair_rerank(
     *,
     k_in: int | None = None,
     k_out: int | None = None,
-    max_doc_chars: int | None = PAIR_TEXT_CHARS,
+    max_doc_chars: int | None = None,
     make_predict_fn: Callable | None = None,
     batch_size: int = PAIR_BATCH,
 ) -> DataFrame:
     """Score the first ``k_in`` candidates as (query, document) pairs and keep ``k_out``.
 
     Candidates that were not kept follow in their old order with score 0, up to the
-    length of the list. ``make_predict_fn`` plugs in a model that takes both texts.
+    length of the list. Documents are read whole unless ``max_doc_chars`` cuts them for a
+    model with a bounded input. ``make_predict_fn`` plugs in a model that takes both texts.
     """
     head = run if k_in is None else run.where(F.col("rank") <= k_in)
     texts = attach_docs(head, docs.select("doc_id", F.col("content").alias("_doc")), ["_doc"])

@@ -35,13 +35,15 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where the session names none (local tests) a temporary one is made,
-    and it is then set on the session so later calls agree.
+    Only where a local session names none (tests) a temporary one is made, and it is
+    then set on the session so later calls agree; a cluster without one is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         configured = tempfile.mkdtemp(prefix="rankloom-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -23,10 +23,23 @@ def missing_rows(keyed: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def update_store(
-    spark: SparkSession, df: DataFrame, path: str, text_col: str = "content", *, id_col: str = "doc_id", **encoder
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    text_col: str = "content",
+    *,
+    id_col: str = "doc_id",
+    model: str | None = None,
+    **encoder,
 ) -> DataFrame:
-    """Encode the misses, append them to the store, return ``(id, embedding)`` for all rows."""
+    """Encode the misses, append them to the store, return ``(id, embedding)`` for all rows.
+
+    ``model`` names a plugged model and is part of the key, so models can share a store.
+    """
+    if encoder.get("make_predict_fn") is not None and not model:
+        raise ValueError("a plugged model needs a name: its vectors are stored under it")
     settings = {k: v for k, v in encoder.items() if k not in ("make_predict_fn", "batch_size")}
+    settings["model"] = model or "built-in"
     keyed = with_key(df.select(id_col, text_col), encoder_tag(**settings), text_col)
     try:
         store = spark.read.parquet(path)

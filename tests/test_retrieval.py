@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankloom.operators import common, dense, fusion, lexical, rerank
 from rankloom.functions.text import TECH_TOKEN_PATTERN
+from rankloom.sources import vector_store
 
 TEXTS = ["the cat sat", "the dog sat sat", "c++ code and the cat", "nothing here", "dog dog dog"]
 QUERIES = ["cat cat sat zebra", "dog", "unknown words only"]
@@ -106,6 +107,43 @@ def test_knn_matches_numpy(spark):
         dense.knn_search(dv, qv, 61)
 
 
+def test_one_long_vector_behind_many(spark):
+    """Every row decides whether the vectors have length one."""
+    rows = [(i, [math.cos(i), math.sin(i)]) for i in range(400)]
+    even = spark.createDataFrame(rows, "doc_id long, embedding array<double>").coalesce(1)
+    odd = spark.createDataFrame([*rows, (400, [30.0, 40.0])], "doc_id long, embedding array<double>").coalesce(1)
+    assert dense.unit_norm_check(even).first()["unit_norm"] and not dense.unit_norm_check(odd).first()["unit_norm"]
+    query = spark.createDataFrame([(1, [0.6, 0.8])], "qid long, embedding array<double>")
+    best = dense.knn_search(odd, query, 1).first()
+    assert best["doc_id"] == 400 and best["score"] == pytest.approx(1.0)
+
+
+def test_ranks_beyond_a_thousand_rows(spark):
+    rows = [(1, t, (t * 7) % 30) for t in range(1500)] + [(2, 0, None), (2, 1, 5), (None, 0, 1)]
+    df = spark.createDataFrame(rows, "g long, t long, n long").withColumn("b", -F.col("n"))
+    got = {(r.g, r.t): r["rank"] for r in common.bucket_rank(df, ["g"], "b", [F.col("t")]).collect()}
+    order = sorted((r for r in rows if r[0] == 1), key=lambda r: (-r[2], r[1]))
+    assert len(got) == len(rows) and all(got[1, r[1]] == i for i, r in enumerate(order, 1))
+    assert got[2, 1] == 1 and got[2, 0] == 2 and got[None, 0] == 1
+
+
+def test_pair_scorer_reads_whole_documents(spark):
+    docs = spark.createDataFrame([(1, "x " * 600 + "needle"), (2, "x")], "doc_id long, content string")
+    run = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 1, 0.5)], "qid long, rank int, doc_id long, score double")
+    queries = spark.createDataFrame([(1, "needle")], "qid long, content string")
+    assert rerank.pair_rerank(run, queries, docs).where("rank = 1").first()["doc_id"] == 1
+
+
+def test_store_keeps_models_apart(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, content string")
+    path = str(tmp_path / "vectors")
+    one = {r.doc_id: r.embedding for r in vector_store.update_store(spark, docs, path, model="one", dim=4).collect()}
+    vector_store.update_store(spark, docs, path, model="two", dim=4).collect()
+    assert spark.read.parquet(path).select("key").distinct().count() == 4 and len(one) == 2
+    with pytest.raises(ValueError):
+        vector_store.update_store(spark, docs, path, make_predict_fn=lambda: None)
+
+
 def test_fusion_ties_keep_dense_first(spark):
     run = lambda rows: spark.createDataFrame(rows, "qid long, rank int, doc_id long, score double")
     a = run([(1, 1, 10, 1.0), (1, 2, 11, 0.9)])
