@@ -42,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         configured = tempfile.mkdtemp(prefix="rankloom-")
         spark.sparkContext.setCheckpointDir(configured)
