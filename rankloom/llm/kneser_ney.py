@@ -9,9 +9,10 @@ down to a uniform one.
 Counts are packed per slice, summed by shard and stored. A shard holds all strings whose last byte
 follows the same two bytes, so every order from three up is whole inside its shard; each shard gives
 its counts of counts and its part of order two, which is at most 65,536 numbers and, with order one,
-goes to all tasks. Texts are grouped into pages of bounded size; a page asks the shards for its
-distinct strings and their answers are joined back to the page. A shard asked by many pages answers
-in several tasks.
+goes to all tasks. Texts are packed where they are read into compressed pages of bounded size; a page asks
+the shards for its distinct strings and their answers are joined back to the page. A shard asked by many
+pages answers in several tasks. Texts should come from a stored table, so that a lost task packs the same
+pages again.
 
 Every text gets its perplexity per byte. A language's threshold is the ``quantile`` of the perplexity of
 its trusted documents (all of them); a language without any takes that of all languages together. A
@@ -29,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rankloom.llm.context_tree import PAGE_BYTES, SHARD_BYTES, _by_shard, _BYTES, _keys, _sum_shard
@@ -161,16 +163,35 @@ def fit(docs: DataFrame, trusted: DataFrame, shards: int, *, order: int = ORDER)
     return Model(order, shards, model, tables, {n: discounts(c) for n, c in of.items()})
 
 
-def _ask(order: int, shards: int, slots: int):
+def _pack(page_bytes: int):
+    """Rows as compressed pages of at most ``page_bytes`` of text, numbered within their task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for n, (part, _, _) in enumerate(text_slices(batches, "text", page_bytes)):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+                writer.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([first + n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["page", "packed"])
+
+    return run
+
+
+def _unpacked(page: pa.Table) -> pa.Table:
+    return pa.ipc.open_stream(page.column("packed")[0].as_buffer()).read_all()
+
+
+def _ask(order: int, shards: int):
     """The distinct strings of a page, by shard."""
 
     def run(table: pa.Table) -> pa.Table:
-        data, offsets = text_buffer(table.column("text").combine_chunks())
+        data, offsets = text_buffer(_unpacked(table).column("text").combine_chunks())
         distinct = np.unique(_keys(data, offsets, order - 1)[2])
         page = table.column("page")[0].as_py()
         parts = [(s, distinct[at].tobytes()) for s, at in _by_shard(_BYTES, distinct, shards)]
         n = len(parts)
-        return pa.table({"page": pa.array([page] * n, pa.int64()), "slot": pa.array([page % slots] * n, pa.int32()), "shard": pa.array([s for s, _ in parts], pa.int32()), "keys": pa.array([k for _, k in parts], pa.binary())})
+        return pa.table({"page": pa.array([page] * n, pa.int64()), "shard": pa.array([s for s, _ in parts], pa.int32()), "keys": pa.array([k for _, k in parts], pa.binary())})
 
     return run
 
@@ -194,7 +215,8 @@ def _answer(order: int, low: list[OrderTable], discount: dict[int, np.ndarray]):
 
 
 def _perplexity(order: int, shards: int):
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(page: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = _unpacked(page)
         data, offsets = text_buffer(texts.column("text").combine_chunks())
         _, _, codes, row = _keys(data, offsets, order - 1)
         got = dict(zip(answers.column("shard").to_pylist(), answers.column("logs").to_pylist()))
@@ -208,11 +230,15 @@ def _perplexity(order: int, shards: int):
     return run
 
 
-def perplexities(rows: DataFrame, model: Model, pages: int, *, pages_per_task: int = PAGES_PER_TASK) -> DataFrame:
-    """``doc_id, lang, perplexity`` of every row of ``rows`` (doc_id, lang, text)."""
+def perplexities(rows: DataFrame, model: Model, pages: int, *, page_bytes: int = PAGE_BYTES, pages_per_task: int = PAGES_PER_TASK) -> DataFrame:
+    """``doc_id, lang, perplexity`` of every row of ``rows`` (doc_id, lang, text).
+
+    ``pages`` is about the number of pages to expect; a shard answers ``pages_per_task`` of them in one task.
+    """
     slots = -(-pages // pages_per_task)
-    paged = rows.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pages)).alias("page"))
-    asked = paged.groupBy("page").applyInArrow(_ask(model.order, model.shards, slots), "page long, slot int, shard int, keys binary")
+    paged = rows.select("doc_id", "lang", "text").mapInArrow(_pack(page_bytes), "page long, packed binary")
+    asked = paged.groupBy("page").applyInArrow(_ask(model.order, model.shards), "page long, shard int, keys binary")
+    asked = asked.withColumn("slot", F.pmod(F.xxhash64("page"), F.lit(slots)).cast("int"))
     spread = model.counts.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     answers = asked.groupBy("shard", "slot").cogroup(spread.groupBy("shard", "slot")).applyInArrow(_answered(model), "page long, shard int, logs binary")
     return paged.groupBy("page").cogroup(answers.groupBy("page")).applyInArrow(_perplexity(model.order, model.shards), "doc_id long, lang string, perplexity double")
@@ -237,7 +263,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, order: int = ORDER, quantile:
     trusted = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     model = fit(rows, trusted, int(size // shard_bytes) + 8, order=order)
-    scored = stored(perplexities(rows, model, int(size // page_bytes) + 8), "perplexity")
+    scored = stored(perplexities(rows, model, int(size // page_bytes) + 8, page_bytes=page_bytes), "perplexity")
     good = join_by(scored, trusted, ["doc_id"], "left_semi")
     by_lang = good.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("own"))
     overall = good.agg(F.percentile_approx("perplexity", quantile, 100_000).alias("q")).first()["q"]
