@@ -182,6 +182,15 @@ def _unpacked(page: pa.Table) -> pa.Table:
     return pa.ipc.open_stream(page.column("packed")[0].as_buffer()).read_all()
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Eight-byte values as their first bytes, their second bytes and so on, which compress well in order."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(raw: bytes, dtype: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(dtype).ravel()
+
+
 def _ask(order: int, shards: int):
     """The distinct strings of a page, by shard."""
 
@@ -189,7 +198,7 @@ def _ask(order: int, shards: int):
         data, offsets = text_buffer(_unpacked(table).column("text").combine_chunks())
         distinct = np.unique(_keys(data, offsets, order - 1)[2])
         page = table.column("page")[0].as_py()
-        parts = [(s, distinct[at].tobytes()) for s, at in _by_shard(_BYTES, distinct, shards)]
+        parts = [(s, _planes(distinct[at])) for s, at in _by_shard(_BYTES, distinct, shards)]
         n = len(parts)
         return pa.table({"page": pa.array([page] * n, pa.int64()), "shard": pa.array([s for s, _ in parts], pa.int32()), "keys": pa.array([k for _, k in parts], pa.binary())})
 
@@ -200,15 +209,15 @@ def _answer(order: int, low: list[OrderTable], discount: dict[int, np.ndarray]):
     """Log probabilities of the strings asked for, in their order."""
 
     def run(asked: pa.Table, shard: pa.Table) -> pa.Table:
-        raw = asked.column("keys").to_pylist()
-        distinct, at = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+        keys = [_from_planes(x, np.uint64) for x in asked.column("keys").to_pylist()]
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         tables = list(low)
         if shard.num_rows:
             found = order_counts(*_unpack(shard.column("keys")[0].as_py(), shard.column("counts")[0].as_py()), order, 3)
             tables += [order_table(*found[n], discount[n]) for n in range(3, order + 1)]
         logs = np.log(probabilities(distinct, tables))[at]
-        ends = np.cumsum([0, *(len(x) // 8 for x in raw)])
-        values = [logs[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:])]
+        ends = np.cumsum([0, *map(len, keys)])
+        values = [_planes(logs[lo:hi]) for lo, hi in zip(ends[:-1], ends[1:])]
         return pa.table({"page": asked.column("page"), "shard": asked.column("shard"), "logs": pa.array(values, pa.binary())})
 
     return run
@@ -223,7 +232,7 @@ def _perplexity(order: int, shards: int):
         distinct, at = np.unique(codes, return_inverse=True)
         logs = np.zeros(len(distinct))
         for s, where in _by_shard(_BYTES, distinct, shards):
-            logs[where] = np.frombuffer(got[s], np.float64)
+            logs[where] = _from_planes(got[s], np.float64)
         mean = np.bincount(row, weights=logs[at], minlength=texts.num_rows) / (np.diff(offsets) + 1)
         return pa.table({"doc_id": texts.column("doc_id"), "lang": texts.column("lang"), "perplexity": pa.array(np.exp(-mean))})
 
