@@ -23,13 +23,7 @@ MODULES = (
 def _collect(attribute: str) -> dict:
     merged: dict = {}
     for name in MODULES:
-        try:
-            module = importlib.import_module(f"rankloom.catalog.{name}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"rankloom.catalog.{name}":
-                raise
-            continue
-        merged.update(getattr(module, attribute))
+        merged.update(getattr(importlib.import_module(f"rankloom.catalog.{name}"), attribute))
     return merged
 
 

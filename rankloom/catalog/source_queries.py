@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from rankloom.catalog import fixtures as fx
@@ -179,8 +181,10 @@ def run_metadata(spark, sf):
     run, q = _lists(spark, sf)
     table = evaluate(run, fx.benchmark_qrels(spark, sf), q, [20]).first().asDict()
     path = scratch_path(spark, "runs")
-    sinks.append_run_metadata(spark, path, {"top_k": 20}, table, "none")
-    return spark.read.schema("run string, config string, metrics string, submission_path string").json(path)
+    sinks.append_run_metadata(spark, path, {"top_k": 20}, table, "none", datetime(2024, 5, 6, 7, 8, 9))
+    rows = spark.read.schema("run string, config string, metrics string, submission_path string").json(path)
+    metrics = F.from_json("metrics", "k int, precision double, recall double, mrr double")
+    return rows.select("run", "config", metrics.alias("m"), "submission_path").select("run", "config", "m.*", "submission_path")
 
 
 QUERIES = {
@@ -224,6 +228,8 @@ UNION ALL SELECT 'judgments', count(*), CAST(sum(qid) AS BIGINT) FROM tq""",
     "s9_submission_sink": _RUN20
     + """SELECT CAST(qid AS VARCHAR) AS query_id, '["' || string_agg(CAST(doc_id AS VARCHAR), '","' ORDER BY rank) || '"]' AS relevant_doc_ids, '?' AS category FROM r GROUP BY qid""",
     "s10_table_csv": _RUN20 + sp.metrics("r", "bqr", "bq", (1, 5, 10, 20)),
+    "s12_run_metadata": _RUN20
+    + f"""SELECT '20240506_070809' AS run, '{{"top_k": 20}}' AS config, m.*, 'none' AS submission_path FROM ({sp.metrics("r", "bqr", "bq", (20,))}) m""",
     "s11_method_export": "SELECT unnest(['bm25:plus', 'bm25:okapi', 'fused']) AS model_label, count(*) AS n_rows, CAST(20 AS INTEGER) AS top_k FROM benchmark",
 }
 _S6 = f"""concat_ws(' ', nullif({sp.safe('title')}, ''), nullif({sp.safe('body')}, ''),

@@ -77,7 +77,7 @@ def truncate_text(c: Column | str, max_chars: int | None) -> Column:
     if max_chars is None:
         return _col(c)
     if max_chars <= 0:
-        raise ValueError("max_chars must be positive when provided")
+        raise ValueError(f"a text can't be cut to {max_chars} characters")
     return F.substring(null_to_empty(c), 1, max_chars)
 
 

@@ -1,7 +1,7 @@
 """Text features, splits and category classifiers.
 
 Features stay in long form ``(row_id, idx, weight)`` until an ML estimator needs a
-vector. The vocabulary is bounded by ``max_features``, so it may be broadcast.
+vector. The vocabulary is bounded by ``max_features`` and broadcast where its measured size allows.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ class FeatureModel:
     def transform(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Long features ``(row_id, idx, weight)``; rows without known terms have none."""
         counts = gram_counts(df, text_col, self.ngram_range)
-        known = counts.join(F.broadcast(self.vocabulary), "term")
+        known = join_bounded(counts, self.vocabulary, "term", salt_by="row_id")
         if self.kind == "count":
             return known.select("row_id", "idx", "term", F.col("tf").cast("double").alias("weight"))
         tf = 1 + F.ln("tf") if self.sublinear_tf else F.col("tf").cast("double")
@@ -220,7 +220,7 @@ class Classifier:
 
     def __init__(self, method: str = "logreg", **params) -> None:
         if method not in METHODS:
-            raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+            raise ValueError(f"classifier {method!r} is none of {METHODS}")
         self.method = method
         self.params = params
         self._model = None

@@ -97,7 +97,7 @@ def top_per_group(
     sorted by ``salts`` tasks and the last task never sees more than that bound.
     """
     if k <= 0:
-        raise ValueError("k must be a positive integer")
+        raise ValueError(f"a ranking of {k} rows can't be made")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     inner = Window.partitionBy(*group, "_salt").orderBy(*order)
     outer = Window.partitionBy(*group).orderBy(*order)

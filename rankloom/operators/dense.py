@@ -178,7 +178,7 @@ def knn_search(
     with the block and keeps its own best ``k`` per query; only those are shuffled.
     """
     if k <= 0:
-        raise ValueError("k must be a positive integer")
+        raise ValueError(f"a ranking of {k} rows can't be made")
     length = norm("embedding")
     profile = [
         F.count(F.lit(1)).alias("n"),
@@ -197,9 +197,9 @@ def knn_search(
     if q_info["n"] == 0:
         return top_k(spark.createDataFrame([], out_schema), k).select("qid", "rank", "doc_id", "score")
     if d_info["n"] < k:
-        raise ValueError("k cannot be greater than the number of documents")
+        raise ValueError(f"{d_info['n']} documents can't fill a ranking of {k}")
     if {q_info["lo"], q_info["hi"], d_info["lo"], d_info["hi"]} != {q_info["lo"]}:
-        raise ValueError("all vectors must have the same dimension")
+        raise ValueError("vectors of several widths can't be compared")
     dim = q_info["lo"]
     plain_dot = assume_normalized and d_info["unit"] and q_info["unit"]
     row_bytes = dim * 8 + k * 24

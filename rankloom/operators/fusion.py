@@ -17,22 +17,20 @@ DEFAULT_WEIGHT_BM25 = 0.5
 # ----------------------------------------------------------------------------
 
 
-def _above_zero(**numbers: float) -> None:
+def above_zero(**numbers: float) -> None:
     """Refuse the first setting that is not above zero, by its name."""
     for name, number in numbers.items():
         if not number > 0:
-            raise ValueError(f"fusion setting {name} is {number!r}, needs a number above zero")
+            raise ValueError(f"{name} is {number!r}, needs a number above zero")
 
 
 def resolve_weights(defaults: Mapping[str, float], overrides: Mapping[str, float]) -> dict[str, float]:
     """Default source weights with per-config overrides; unknown names are an error."""
     unknown = sorted(set(overrides) - set(defaults))
     if unknown:
-        raise ValueError(f"unknown weight keys: {unknown}")
+        raise ValueError(f"no such sources: {unknown}")
     resolved = {**defaults, **overrides}
-    for name, weight in resolved.items():
-        if weight <= 0:
-            raise ValueError(f"source weight must be > 0 for {name!r}")
+    above_zero(**{f"weight of {name}": weight for name, weight in resolved.items()})
     return resolved
 
 
@@ -72,7 +70,7 @@ def fuse_configs(runs: DataFrame, configs: Sequence[Mapping], sources: Sequence[
     """
     for cfg in configs:
         depth = cfg["candidate_k"] if k_out is None else k_out
-        _above_zero(depth=depth, rrf_k=cfg["rrf_k"], **{f"weight of {s}": cfg["weights"][s] for s in sources})
+        above_zero(depth=depth, rrf_k=cfg["rrf_k"], **{f"weight of {s}": cfg["weights"][s] for s in sources})
     limit = k_out or max(int(c["candidate_k"]) for c in configs)
     matching = F.filter(
         _config_rows(configs, sources),
@@ -135,7 +133,7 @@ def hybrid_search(
     fewer. Vectors that are not given are encoded once and stored, since the search reads them
     several times.
     """
-    _above_zero(top_k=top_k, candidate_multiplier=candidate_multiplier)
+    above_zero(top_k=top_k, candidate_multiplier=candidate_multiplier)
     available = docs.count() if n_docs is None else n_docs
     if available < top_k:
         raise ValueError(f"{available} documents can't fill a ranking of {top_k}")

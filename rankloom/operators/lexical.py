@@ -202,9 +202,9 @@ def bm25_search(
 ) -> DataFrame:
     """Top ``k`` documents per query as ``(qid, rank, doc_id, score)``."""
     if k <= 0:
-        raise ValueError("k must be a positive integer")
+        raise ValueError(f"a ranking of {k} rows can't be made")
     if method not in BM25_METHODS:
-        raise ValueError(f"method must be 'plus' or 'okapi', not {method!r}")
+        raise ValueError(f"BM25 form {method!r} is none of {BM25_METHODS}")
     terms = query_terms(queries, index.tokenize, text_col)
     small = fits_broadcast(terms)
     matches = index.matches(terms, small)
@@ -331,7 +331,7 @@ def document_norms(model: TfidfModel) -> DataFrame:
 def tfidf_search(model: TfidfModel, queries: DataFrame, k: int, text_col: str = "content") -> DataFrame:
     """Cosine top ``k`` with corpus idf on both sides; unknown query words drop out."""
     if k <= 0:
-        raise ValueError("k must be a positive integer")
+        raise ValueError(f"a ranking of {k} rows can't be made")
     index = model.index
     terms = query_terms(queries, index.tokenize, text_col)
     small = fits_broadcast(terms)

@@ -32,7 +32,7 @@ def per_query(
     A document listed twice counts once, at its first rank.
     """
     if not k_values or any(k <= 0 for k in k_values):
-        raise ValueError("k must be a positive integer")
+        raise ValueError(f"cutoffs are positive numbers of rows, not {list(k_values)}")
     first = (
         mark_relevant(runs.select(*group, "qid", "rank", "doc_id"), qrels)
         .groupBy(*group, "qid", "doc_id")
@@ -61,26 +61,35 @@ def evaluate(
     k_values: Sequence[int],
     group: Sequence[str] = (),
     digits: int | None = 6,
+    judged: DataFrame | None = None,
 ) -> DataFrame:
     """Mean precision, recall and MRR per group and cutoff over **all** ``queries``.
 
     Queries without run rows or without relevant documents score zero and stay in
     the mean. With ``group`` columns that ``queries`` also has (a category), the mean
-    is over that group's queries.
+    is over that group's queries, and a group of queries without run rows scores
+    zero under every value of the other group columns. Without ``group`` an empty run
+    scores zero. ``judged`` lists the queries that have a judgment, an empty one too;
+    where given, a query outside it is an error.
     """
-    rows = per_query(runs, qrels, k_values, group)
+    if judged is not None:
+        check_judged(queries, judged)
+    measures = ("precision", "recall", "mrr")
+    sums = per_query(runs, qrels, k_values, group).groupBy(*group, "k").agg(*[F.sum(m).alias(m) for m in measures])
     shared = [g for g in group if g in queries.columns]
-    means = rows.groupBy(*group, "k").agg(*[F.sum(m).alias(m) for m in ("precision", "recall", "mrr")])
-    if shared:
-        sizes = queries.groupBy(*shared).agg(F.count(F.lit(1)).alias("_n"))
-        means = means.join(sizes, shared)
-        n = F.col("_n")
-    else:
-        n = F.lit(queries.count())
-    out = means.select(*group, "k", *[(F.col(m) / n).alias(m) for m in ("precision", "recall", "mrr")])
+    own = [g for g in group if g not in shared]
+    sizes = queries.groupBy(*shared).agg(F.count(F.lit(1)).alias("_n"))
+    if own:  # methods or settings: as many as were compared
+        compared = runs.agg(F.collect_set(F.struct(*own))).scalar()
+        sizes = sizes.withColumn("_g", F.explode(compared)).select("*", *[F.col("_g")[g].alias(g) for g in own])
+    cutoffs = F.array(*[F.lit(int(k)) for k in sorted(set(k_values))])
+    floor = sizes.select(*group, F.explode(cutoffs).alias("k"), *[F.lit(0.0).alias(m) for m in measures], "_n")
+    both = sums.withColumn("_n", F.lit(0).cast("long")).unionByName(floor)
+    means = both.groupBy(*group, "k").agg(*[F.sum(m).alias(m) for m in measures], F.sum("_n").alias("_n")).where("_n > 0")
+    out = means.select(*group, "k", *[(F.col(m) / F.col("_n")).alias(m) for m in measures])
     if digits is None:
         return out
-    return out.select(*group, "k", *[F.round(m, digits).alias(m) for m in ("precision", "recall", "mrr")])
+    return out.select(*group, "k", *[F.round(m, digits).alias(m) for m in measures])
 
 
 def mean_retrieval_score() -> Column:

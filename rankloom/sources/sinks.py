@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rankloom.operators.common import materialise
 from rankloom.operators.submission import verify_submission
 
 
@@ -17,10 +18,11 @@ def write_prepared(docs: DataFrame, train: DataFrame, test: DataFrame, folder: s
         df.write.mode("overwrite").format(fmt).save(f"{folder}/{name}")
 
 
-def write_submission(df: DataFrame, path: str, top_k: int, category: str | None = None) -> None:
-    """Check and write as CSV with header. Rows are one per query, so one file is enough."""
-    verify_submission(df, top_k, category)
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_submission(df: DataFrame, path: str, top_k: int, category: str | None = None, one_file: bool = False) -> None:
+    """Compute once, check, and write as CSV with header, in one file only where asked for."""
+    table = materialise(df)
+    verify_submission(table, top_k, category)
+    (table.coalesce(1) if one_file else table).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_submission(spark: SparkSession, path: str) -> DataFrame:
@@ -49,11 +51,11 @@ def export_by_label(submissions: DataFrame, path: str) -> DataFrame:
 
 
 def append_run_metadata(
-    spark: SparkSession, path: str, config: Mapping, metrics: Mapping, submission_path: str
+    spark: SparkSession, path: str, config: Mapping, metrics: Mapping, submission_path: str, at: datetime | None = None
 ) -> DataFrame:
-    """Append one row of run metadata to the ``runs`` table and return that row."""
+    """Append one row of run metadata to the ``runs`` table and return that row; ``at`` is now unless given."""
     row = spark.range(1).select(
-        F.lit(datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")).alias("run"),
+        F.lit((at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")).alias("run"),
         F.lit(json.dumps(dict(config), sort_keys=True, default=str)).alias("config"),
         F.lit(json.dumps(dict(metrics), sort_keys=True, default=str)).alias("metrics"),
         F.lit(submission_path).alias("submission_path"),

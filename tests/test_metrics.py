@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators import classify, metrics, sampling, submission
-from rankloom.plans.config import CategoryConfig, HybridConfig
+from rankloom.plans.config import CategoryPlan, Fusion, HybridPlan, Rerank
 from rankloom.sources import corpus
 
 
@@ -114,6 +114,21 @@ def test_quality_gate(spark):
 
 def test_config_checks():
     with pytest.raises(ValueError):
-        HybridConfig(rrf_k=0).validate()
+        HybridPlan(fusion=Fusion(offset=0))
     with pytest.raises(ValueError):
-        CategoryConfig(rerank="soft_boost").validate()
+        CategoryPlan(rerank=Rerank("soft_boost"))
+    with pytest.raises(ValueError):
+        Fusion(offset=1, weights={"other": 1.0})
+
+
+def test_groups_without_rows_and_unjudged_queries(spark):
+    queries = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "qid long, category string")
+    runs = spark.createDataFrame([("m", "a", 1, 1, 5)], "method string, category string, qid long, rank int, doc_id long")
+    qrels = spark.createDataFrame([(1, 5), (2, 6)], "qid long, doc_id long")
+    rows = metrics.evaluate(runs, qrels, queries, [3], ["method", "category"]).collect()
+    assert {(r.method, r.category): r.mrr for r in rows} == {("m", "a"): 1.0, ("m", "b"): 0.0, ("m", None): 0.0} and len(rows) == 3
+    rows = metrics.evaluate(runs.limit(0).drop("method", "category"), qrels, queries, [3, 5]).collect()
+    assert {(r.k, r.precision, r.recall, r.mrr) for r in rows} == {(3, 0.0, 0.0, 0.0), (5, 0.0, 0.0, 0.0)}
+    with pytest.raises(ValueError, match="not judged"):
+        metrics.evaluate(runs, qrels, queries, [3], ["method"], judged=qrels.select("qid").where("qid = 1"))
+    assert metrics.evaluate(runs, qrels, queries, [3], ["method"], judged=queries.select("qid")).count() == 1

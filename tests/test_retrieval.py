@@ -78,7 +78,7 @@ def test_bm25_arguments(spark):
         lexical.bm25_search(index, queries, 0)
     with pytest.raises(ValueError):
         lexical.bm25_search(index, queries, 3, "bm42")
-    with pytest.raises(Exception, match="k cannot be greater"):
+    with pytest.raises(Exception, match="can't fill a ranking"):
         lexical.bm25_search(index, queries, 6).collect()
 
 
