@@ -180,7 +180,7 @@ def fill_to_k(run: DataFrame, queries: DataFrame, docs: DataFrame, k: int, base:
                     F.transform("hits", lambda h: F.struct(h["doc_id"].alias("doc_id"), h["score"].alias("score"))),
                     F.transform("_fill", lambda d: F.struct(d.alias("doc_id"), F.lit(0.0).alias("score"))),
                 ),
-            ).otherwise(F.raise_error(F.lit("k cannot be greater than the number of documents")))
+            ).otherwise(F.raise_error(F.lit("the documents can't fill a ranking of the length asked for")))
         ).alias("_p", "_h"),
     )
     return listed.select(
