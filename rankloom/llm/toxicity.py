@@ -11,7 +11,8 @@ A clause is the text between sentence marks. Its words are read once by composed
 Clauses, not words, are scored. The lexicon starts from a short list and is extended by words and
 stems that labelled training rows show almost only in toxic texts; a logistic model over the clause
 scores of a document gives the final score. Both are fitted on at most ``sample`` labelled rows in
-hash order of their ids; near-identical texts count once, so a copied document adds no entries.
+hash order of their ids; copies and near copies (80 % of the 5-word shingles) with the same label
+count once, so a copied document adds no entries.
 
 Null and empty texts have no clauses and get the score of a text without matches. Each row is scored
 on its own, so ties and repeated rows get equal scores; null ids count as held in for training only
@@ -31,13 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankloom.llm.kernels import ALNUM, LOWER, span_hashes, text_slices, word_spans
-from rankloom.llm.tables import doc_rows, stored
+from rankloom.llm.jaccard_join import jaccard_components
+from rankloom.llm.kernels import ALNUM, LOWER, text_slices, word_spans
+from rankloom.llm.tables import doc_rows, join_by, stored
 
 SAMPLE = 20_000
 FOLDS = 5
 STEMS = (4, 5, 6)
 MAX_ENTRIES = 5_000
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 # fixed values: seed words of the grammar
 INSULTS = (
@@ -165,17 +168,17 @@ def held_out(doc_id: Column, remainder: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == remainder, F.lit(False))
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two min-hashes of each text's words."""
-    for part, data, offsets in text_slices(batches, "text"):
-        starts, ends, row = word_spans(LOWER[data], offsets, ALNUM)
-        words = span_hashes(LOWER[data], starts, ends)
-        out = np.zeros((2, part.num_rows), dtype=np.uint64)
-        rows, first = np.unique(row, return_index=True)
-        if len(rows):
-            out[0, rows] = np.minimum.reduceat(words, first)
-            out[1, rows] = np.maximum.reduceat(words, first)
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out[0].view(np.int64)), pa.array(out[1].view(np.int64))], [*part.schema.names, "low", "high"])
+def _distinct(texts: DataFrame) -> DataFrame:
+    """``doc_id`` (a hash of the text), ``text, toxic``: one row for each label and group of near copies.
+
+    Near copies are told by the exact join, so different texts that share some words all stay.
+    """
+    texts = texts.select(F.xxhash64("text").alias("doc_id"), "text", "toxic").dropDuplicates(["doc_id", "toxic"])
+    texts = stored(texts, "toxicity_labelled")
+    groups = jaccard_components(texts, n=NEAR_WORDS, percent=NEAR_PERCENT).select("doc_id", "component_id")
+    first = join_by(texts.select("doc_id", "toxic"), groups, ["doc_id"], "inner").groupBy("toxic", "component_id").agg(F.min("doc_id").alias("doc_id"))
+    first = stored(first.select("doc_id", "toxic"), "toxicity_first")
+    return stored(join_by(texts, first, ["doc_id", "toxic"], "left_semi"), "toxicity_sample")
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, min_share:
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND doc_id IS NOT NULL")
     chosen = marked.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = doc_rows(docs).join(F.broadcast(chosen), "doc_id")  # at most `sample` rows of 12 bytes
-    texts = texts.mapInArrow(_signatures, "doc_id long, text string, toxic int, low long, high long").dropDuplicates(["toxic", "low"]).dropDuplicates(["toxic", "high"])
-    texts = stored(texts, "toxicity_sample")
+    texts = _distinct(texts)
     sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     words, stems = dict.fromkeys(INSULTS, 1.0), {}
     if sizes.get(0) and sizes.get(1):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rankloom.llm import byte_bpe, context_tree, decontaminate, jaccard_join, kneser_ney, pii, product_quantiser, repeated_spans, token_files, toxicity
+from rankloom.llm.kernels import ALNUM, span_hashes, word_spans
 from rankloom.llm.tables import components
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -162,6 +163,27 @@ def test_toxicity(spark):
     assert toxicity.score(empty(spark), none).count() == 0
 
 
+def test_toxicity_sample_keeps_different_texts(spark):
+    """All texts share one word of extreme hash; only true copies and near copies fall out of the fit."""
+    vocabulary = [a + b + c for a in "bdfgklmn" for b in ("ara", "eno", "ilo") for c in "bdfgklmn"]
+    hashes = toxicity_hashes(vocabulary)
+    common = [vocabulary[int(np.argmin(hashes))], vocabulary[int(np.argmax(hashes))]]
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choices(vocabulary, k=40) + common), i % 2) for i in range(60)]
+    rows += [(60, rows[0][1], 0), (61, rows[0][1] + " tail", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = [(r.toxic, r.text.removesuffix(" tail")) for r in toxicity._distinct(df).collect()]
+    assert sorted(got) == sorted((toxic, text) for _, text, toxic in rows[:60])
+    model = toxicity.fit(frame(spark, {i: t + " grumpf" * k for i, t, k in rows}), df.select("doc_id", "toxic"))
+    assert model.grammar.words["grumpf"] > 1  # in every toxic text, in no clean one
+
+
+def toxicity_hashes(words):
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = word_spans(raw, np.array([0, len(raw)]), ALNUM)
+    return span_hashes(raw, starts, ends)
+
+
 @pytest.mark.parametrize("chunk, overlap", [(64, 16), (40, 20), (16_384, 512)])
 def test_byte_bpe(spark, docs, chunk, overlap):
     rows = docs | {70: " \n\t b's  " * 90, 71: "word   " * 100 + "\t\t\n" * 200 + "zz"}
