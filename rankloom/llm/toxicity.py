@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.llm.jaccard_join import jaccard_components
-from rankloom.llm.kernels import ALNUM, LOWER, text_slices, word_spans
+from rankloom.llm.kernels import ALNUM, LOWER, code_points, text_slices, word_spans
 from rankloom.llm.tables import doc_rows, join_by, stored
 
 SAMPLE = 20_000
@@ -73,13 +73,9 @@ class Grammar:
         return found
 
     def keys(self) -> np.ndarray:
-        """First four bytes, as a number, of every word that can begin a match."""
-        out = set()
-        for term in (*self.words, *self.stems, *THREATS):
-            for form in (term, term.capitalize(), term.upper()):
-                raw = LOWER[np.frombuffer(form.encode()[:4].ljust(4, b"\0"), np.uint8)]
-                out.add(int(raw.view("<u4")[0]))
-        return np.array(sorted(out), dtype=np.uint32)
+        """First four bytes, as a number, of every word that can begin a match in an ASCII clause."""
+        heads = {term.encode()[:4].ljust(4, b"\0") for term in (*self.words, *self.stems, *THREATS)}
+        return np.array(sorted(int.from_bytes(h, "little") for h in heads), dtype=np.uint32)
 
 
 def clause_score(clause: str, grammar: Grammar) -> float:
@@ -129,32 +125,42 @@ def _clauses(text: str, positions: list[int]) -> Iterator[str]:
         yield text[start:end]
 
 
-def document_features(text: str, byte_positions: list[int], grammar: Grammar, n_words: int) -> list[float]:
-    raw = text.encode()
-    positions = byte_positions if len(raw) == len(text) else [len(raw[:p].decode()) for p in byte_positions]
+def document_features(text: str, positions: list[int], grammar: Grammar, n_words: int) -> list[float]:
+    """Features of the clauses around ascending positions (code points)."""
     scores = [s for c in _clauses(text, positions) if (s := clause_score(c, grammar)) > 0]
     if not scores:
         return [0.0, 0.0, 0.0, 0.0]
     return [math.log1p(sum(scores)), min(max(scores), 8.0), math.log1p(len(scores)), math.log1p(1000 * len(scores) / max(n_words, 1))]
 
 
+def _candidates(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Bytes whose clauses may score: runs that begin like a match, and everything beyond ASCII.
+
+    Bytes tell the grammar's words only in ASCII clauses; a clause with other characters (which may
+    be letters, quotation marks or spaces) is always scored.
+    """
+    padded = np.concatenate([LOWER[data], np.zeros(4, np.uint8)])
+    head = np.zeros(len(starts), dtype=np.uint32)
+    for i in range(4):
+        head |= np.where(starts + i < ends, padded[starts + i], 0).astype(np.uint32) << np.uint32(8 * i)
+    beyond = data >= 0xC0  # first bytes of their characters
+    beyond[starts[np.isin(head, keys)]] = True
+    return np.flatnonzero(beyond)
+
+
 def _features(grammar: Grammar, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = grammar.keys()
         for part, data, offsets in text_slices(batches, "text"):
-            lower = LOWER[data]
-            starts, ends, row = word_spans(lower, offsets, ALNUM)
-            padded = np.concatenate([lower, np.zeros(4, np.uint8)])
-            head = np.zeros(len(starts), dtype=np.uint32)
-            for i in range(4):
-                head |= np.where(starts + i < ends, padded[starts + i], 0).astype(np.uint32) << np.uint32(8 * i)
-            hit = np.flatnonzero(np.isin(head, keys))
+            starts, ends, row = word_spans(data, offsets, ALNUM)
+            hit = _candidates(data, starts, ends, keys)
             out = np.zeros((part.num_rows, 4))
             n_words = np.bincount(row, minlength=part.num_rows)
             texts = part.column("text")
-            bounds = np.searchsorted(row[hit], np.arange(part.num_rows + 1))
-            for r in np.unique(row[hit]):
-                at = starts[hit[bounds[r] : bounds[r + 1]]] - offsets[r]
+            chars = code_points(data, offsets)
+            bounds = np.searchsorted(hit, offsets)
+            for r in np.flatnonzero(np.diff(bounds)):
+                at = chars[hit[bounds[r] : bounds[r + 1]]] - chars[offsets[r]]
                 out[r] = document_features(texts[int(r)].as_py(), at.tolist(), grammar, int(n_words[r]))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(out[:, i]) for i in range(4))], [*keep, "f0", "f1", "f2", "f3"])
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -178,6 +179,20 @@ def test_toxicity_sample_keeps_different_texts(spark):
     assert model.grammar.words["grumpf"] > 1  # in every toxic text, in no clean one
 
 
+def test_toxicity_filter_agrees_with_all_clauses():
+    grammar = toxicity.Grammar(dict.fromkeys([*toxicity.INSULTS, "so", "гад"], 1.0), {"scum": 1.0, "идио": 1.0})
+    words = ["idiot", "Idiot", "IDIOT", "connard", "scumbag", "so", "İdiot", "\u212aill", "ИдиоТ", "гад", "lamp", "not", "You", "will", "kill"]
+    around = ["", " ", "¡", "¿", "“", "«\u00a0", "—", "…", "漢", "🙂", "\u200b", "_", "'", "1", "\u0301"]
+    rnd = random.Random(6)
+    texts = [f"{a}{w}{b}" for w in words for a in around for b in around] + ["", None]
+    texts += ["".join(rnd.choice(around) + rnd.choice(words) + rnd.choice([" ", ". ", "; ", "”", "\n"]) for _ in range(30)) for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    got = np.array([list(r.values()) for out in toxicity._features(grammar, [])([batch]) for r in out.to_pylist()])
+    for text, row in zip(texts, got):
+        scores = [x for c in toxicity._CLAUSE_END.split(text or "") if (x := toxicity.clause_score(c, grammar)) > 0]
+        assert np.allclose(row[:3], [math.log1p(sum(scores)), min(max(scores, default=0), 8), math.log1p(len(scores))]), text
+
+
 def toxicity_hashes(words):
     raw = np.frombuffer(" ".join(words).encode(), np.uint8)
     starts, ends, _ = word_spans(raw, np.array([0, len(raw)]), ALNUM)
