@@ -16,6 +16,9 @@ are joined, so exact copies never meet each other.
   link that changes a component is lost.
 * Suffix filter: the sets' histograms over 64 hash classes bound their symmetric difference.
 * Verification: each remaining pair once, on the complete sets.
+* Number of links: a link never leaves its component, so all pairs of classes inside each component
+  are compared on their complete sets, in block pairs of bounded size; each pair meets once and only
+  sums per class are rows.
 
 Null, empty and blank texts have an empty set and are linked with nothing. Rows with the same id and
 set are one document; with several texts under one id the smallest id still stands for each. Null ids
@@ -39,6 +42,9 @@ _FLUSH_BYTES = 64 << 20
 LIST_BLOCK = 2048
 _CLASSES = 64
 _SALT_ROWS = 4096
+SET_BYTES = 8 << 20
+_TILE = 256
+_COLUMNS = 1 << 13
 _POSTING = ["list", "element", "class", "size", "place"]
 
 
@@ -308,6 +314,54 @@ def _elements(n: int):
     return run
 
 
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets ``x`` with sets ``y``, by products of bounded 0-1 matrices."""
+    out = np.zeros((len(x), len(y)), dtype=np.int64)
+    a, b = np.concatenate(x), np.concatenate(y)
+    row_a, row_b = (np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (x, y))
+    common = np.intersect1d(a, b)
+    if not len(common):
+        return out
+    at_a, at_b = (np.minimum(np.searchsorted(common, z), len(common) - 1) for z in (a, b))
+    has_a, has_b = common[at_a] == a, common[at_b] == b
+    row_a, at_a, row_b, at_b = row_a[has_a], at_a[has_a], row_b[has_b], at_b[has_b]
+    for lo in range(0, len(common), _COLUMNS):
+        width = min(_COLUMNS, len(common) - lo)
+        one, two = np.zeros((len(x), width), np.float32), np.zeros((len(y), width), np.float32)
+        for into, row, at in ((one, row_a, at_a), (two, row_b, at_b)):
+            here = (at >= lo) & (at < lo + width)
+            into[row[here], at[here] - lo] = 1
+        out += np.rint(one @ two.T).astype(np.int64)
+    return out
+
+
+def _linked(percent: int):
+    """Links of each class inside one block pair, weighted by the other class's documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _lists(batches, "list"):
+            key, side, cls, times = (batch.column(k).to_numpy() for k in ("list", "side", "class", "times"))
+            links = np.zeros(len(cls), dtype=np.int64)
+            bounds = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("elements").slice(lo, hi - lo)]
+                sizes = np.array([len(v) for v in sets])
+                one, two = np.flatnonzero(side[lo:hi] <= 1), np.flatnonzero(side[lo:hi] != 1)
+                inner = bool((side[lo:hi] == 0).all())
+                for i in range(0, len(one), _TILE):
+                    for j in range(i if inner else 0, len(two), _TILE):
+                        a, b = one[i : i + _TILE], two[j : j + _TILE]
+                        shared = _shared([sets[k] for k in a], [sets[k] for k in b])
+                        ok = 100 * shared >= percent * (sizes[a][:, None] + sizes[b][None] - shared)
+                        if inner and i == j:
+                            ok = np.triu(ok, 1)
+                        links[lo + a] += ok @ times[lo + b]
+                        links[lo + b] += times[lo + a] @ ok
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(links)], ["class", "links"])
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,9 +388,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, per
     return stored(two.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long").distinct(), "jaccard_links")
 
 
-def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots: int = FREQUENCY_SLOTS, list_block: int = LIST_BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: connected components of the links
-    ``100 |x & y| >= percent |x | y|``, named by their smallest ``doc_id``."""
+def _joined(docs: DataFrame, n: int, percent: int, slots: int, list_block: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows, documents (``doc_id, size, class``), classes, and the ``node`` that stands for each class's component."""
     rows = doc_rows(docs)
     survey = stored(rows.mapInArrow(_survey(n, slots), "doc_id long, size long, class long, hist binary, block int, counts binary"), "jaccard_survey")
     members = survey.where("block IS NULL").select("doc_id", "size", "class")
@@ -385,11 +438,50 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots:
     named = join_by(classes.select("class", "first"), labels.select(F.col("node").alias("class"), "component"), ["class"], "left")
     named = named.select("class", "first", F.coalesce("component", "class").alias("node"))
     named = join_by(named, joined.withColumnRenamed("component", "_top"), ["node"], "left").select("class", "first", F.coalesce("_top", "node").alias("node"))
-    named = stored(named, "jaccard_named")
+    return rows, members, classes, stored(named, "jaccard_named")
+
+
+def _named(members: DataFrame, named: DataFrame) -> DataFrame:
+    """``doc_id, size, class, component_id`` of every document."""
     smallest = named.groupBy("node").agg(F.min("first").alias("component_id"))
     by_class = join_by(named.select("class", "node"), smallest, ["node"], "left").select("class", "component_id")
     out = join_by(members.distinct(), stored(by_class, "jaccard_by_class"), ["class"], "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.withColumn("component_id", F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+
+
+def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80, slots: int = FREQUENCY_SLOTS, list_block: int = LIST_BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: connected components of the links
+    ``100 |x & y| >= percent |x | y|``, named by their smallest ``doc_id``."""
+    _, members, _, named = _joined(docs, n, percent, slots, list_block)
+    return _named(members, named).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
+def jaccard_links(docs: DataFrame, *, n: int = 5, percent: int = 80, slots: int = FREQUENCY_SLOTS, list_block: int = LIST_BLOCK, set_bytes: int = SET_BYTES) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links``: as ``jaccard_components``, with the exact number
+    of other documents each one is linked with."""
+    rows, members, classes, named = _joined(docs, n, percent, slots, list_block)
+    times = members.distinct().groupBy("class").agg(F.count(F.lit(1)).alias("times"))
+    grouped = named.join(classes.select("class", "size"), "class")
+    several = grouped.groupBy("node").agg(F.count(F.lit(1)).alias("_c"), F.sum("size").alias("_s")).where("_c > 1")
+    parts = F.ceil(F.greatest(F.col("_c") / F.lit(list_block), F.col("_s") * 8 / F.lit(set_bytes))).cast("int")
+    several = stored(several.select("node", parts.alias("parts")), "jaccard_several")
+    chosen = stored(join_by(grouped, several, ["node"], "inner").join(times, "class").select("class", "first", "node", "parts", "times"), "jaccard_chosen")
+    wanted = chosen.select(F.col("first").alias("doc_id")).distinct()
+    sets = join_by(rows, wanted, ["doc_id"], "left_semi").mapInArrow(_elements(n), "class long, elements binary").dropDuplicates(["class"])
+    # every pair of a component meets in one pair of its blocks
+    spread = (
+        chosen.join(sets, "class")
+        .withColumn("mine", F.pmod(F.xxhash64("class"), F.col("parts").cast("long")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("list", F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")))
+        .withColumn("side", F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2))
+        .select("list", "side", "class", "times", "elements")
+    )
+    found = spread.repartition("list").sortWithinPartitions("list").mapInArrow(_linked(percent), "class long, links long")
+    links = stored(found.groupBy("class").agg(F.sum("links").alias("links")), "jaccard_n_links")
+    per_class = stored(times.join(links, "class", "left").select("class", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links")), "jaccard_per_class")
+    out = join_by(_named(members, named), per_class, ["class"], "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), "component_id", F.when(F.col("size") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
 
 
 def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

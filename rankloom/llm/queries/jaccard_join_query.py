@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankloom.llm.jaccard_join import jaccard_components
+from rankloom.llm.jaccard_join import jaccard_components, jaccard_links
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
 
 
+def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
+
+
 _OP3 = r"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -25,5 +29,8 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, t.top AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(top) AS top FROM reach GROUP BY doc_id) t ON t.doc_id = d.doc_id
 """
 
-QUERIES = {"op3_jaccard_join": op3_jaccard_join}
-ORACLE = {"op3_jaccard_join": _OP3}
+# the same, with the number of links of each document
+_OP3_LINKS = _OP3.replace("AS component_id\n", "AS component_id,\n  CAST((SELECT count(*) FROM e WHERE e.x = d.doc_id) AS BIGINT) AS n_links\n")
+
+QUERIES = {"op3_jaccard_join": op3_jaccard_join, "op3_jaccard_links": op3_jaccard_links}
+ORACLE = {"op3_jaccard_join": _OP3, "op3_jaccard_links": _OP3_LINKS}

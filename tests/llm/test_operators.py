@@ -113,6 +113,19 @@ def test_jaccard(spark, docs, monkeypatch, n, percent, slots, salt):
     assert got == {i: (len(sets[i]), top[i]) for i in docs}
 
 
+@pytest.mark.parametrize("percent, set_bytes", [(60, 2000)])
+def test_jaccard_links(spark, docs, monkeypatch, percent, set_bytes):
+    monkeypatch.setattr(jaccard_join, "_TILE", 3)
+    monkeypatch.setattr(jaccard_join, "_COLUMNS", 7)
+    sets = {}
+    for i, t in docs.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        sets[i] = {tuple(w[p : p + 3]) for p in range(max(len(w) - 3, 0) + 1)} if w else set()
+    want = {a: sum(a != b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) for b in docs if sets[b]) if sets[a] else 0 for a in docs}
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_links(frame(spark, docs), n=3, percent=percent, list_block=4, set_bytes=set_bytes).collect()}
+    assert got == want and max(want.values()) > 3
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.jaccard_components(empty(spark)).count() == 0
 
