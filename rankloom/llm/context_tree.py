@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, functions as F
 from rankloom.llm.kernels import LOWER, NON_SPACE, give_back, mix, span_hashes, text_buffer, text_slices, word_spans
 from rankloom.llm.tables import doc_rows, stored
 
-DEPTH = 4
+DEPTH = 7  # the deepest context that fits a 64-bit key with the byte after it
 PAGE_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
+GROUP_KEYS = 250_000
 _WORDS, _BYTES = 0, 1
 _END_WORD = np.uint64(0x5851F42D4C957F2D)
 
@@ -187,14 +188,35 @@ def byte_scores(codes: np.ndarray, levels: dict[int, Level], depth: int) -> np.n
     return np.log10(p).sum(axis=0)
 
 
+def _nearest(codes: np.ndarray) -> np.ndarray:
+    """The two bytes before the scored one: subtrees of depth 2 and deeper share nothing across them."""
+    return ((codes >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _subtrees(codes: np.ndarray, limit: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted ``codes`` in groups of whole subtrees of about ``limit`` codes: first context and positions of each."""
+    near = _nearest(codes)
+    order = np.argsort(near, kind="stable")
+    contexts, starts = np.unique(near[order], return_index=True)
+    edges, cuts = [0], [0]
+    for context, at in zip(contexts[1:].tolist(), starts[1:].tolist()):
+        nxt = int(starts[np.searchsorted(starts, at, side="right")]) if at < starts[-1] else len(codes)
+        if nxt - cuts[-1] > limit:
+            edges.append(context)
+            cuts.append(at)
+    return np.array(edges), [order[lo:hi] for lo, hi in zip(cuts, [*cuts[1:], len(codes)])]
+
+
 def _shard_roots(depth: int):
     """Nodes of depth 2 of each shard: counts and log P_w of the subtrees below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                top = build_levels(np.frombuffer(keys, np.uint64), np.frombuffer(counts, "<i8"), depth, 2)[2]
-                yield pa.RecordBatch.from_arrays([pa.array(top.parents(8)), pa.array(top.a), pa.array(top.b), pa.array(top.log_pw)], ["parent", "a", "b", "log_pw"])
+                codes, totals = np.frombuffer(keys, np.uint64), np.frombuffer(counts, "<i8")
+                for group in _subtrees(codes, GROUP_KEYS)[1]:
+                    top = build_levels(codes[group], totals[group], depth, 2)[2]
+                    yield pa.RecordBatch.from_arrays([pa.array(top.parents(8)), pa.array(top.a), pa.array(top.b), pa.array(top.log_pw)], ["parent", "a", "b", "log_pw"])
         give_back()
 
     return run
@@ -241,10 +263,15 @@ def _answer(depth: int, top: dict[int, Level]):
                 where = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
                 values = np.where(keys[where] == distinct, counts[where], 0).astype(np.float64)
         else:
-            levels = dict(top)
-            if len(keys):
-                levels |= build_levels(keys, counts, depth, 2)
-            values = np.concatenate([byte_scores(distinct[i : i + 50_000], levels, depth) for i in range(0, len(distinct), 50_000)])
+            values = np.zeros(len(distinct))
+            edges, groups = _subtrees(keys, GROUP_KEYS)
+            of = np.searchsorted(edges, _nearest(distinct), side="right") - 1
+            for k, group in enumerate(groups):
+                mine = np.flatnonzero(of == k)
+                if len(mine):
+                    levels = top | (build_levels(keys[group], counts[group], depth, 2) if len(group) else {})
+                    for i in range(0, len(mine), 50_000):
+                        values[mine[i : i + 50_000]] = byte_scores(distinct[mine[i : i + 50_000]], levels, depth)
         values = values[at]
         rows = [(p, k, s, values[lo:hi].tobytes()) for p, k, s, lo, hi in zip(*(asked.column(c).to_pylist() for c in ("page", "kind", "shard")), sizes[:-1], sizes[1:])]
         return pa.Table.from_batches([_packed(rows, ["page", "kind", "shard", "values"])])

@@ -310,6 +310,25 @@ def test_context_tree(spark, docs):
     assert context_tree.score_texts(empty(spark)).count() == 0
 
 
+def test_context_tree_deep(spark, docs, monkeypatch):
+    """The default goes seven bytes back: what six bytes can't tell apart is learned; groups of subtrees agree with one tree."""
+    monkeypatch.setattr(context_tree, "GROUP_KEYS", 20)
+    rnd = random.Random(9)
+    pairs = [(a + "-same-" + b) for a, b in zip("abcd", "wxyz")]
+    rows = {i: " ".join(rnd.choices(pairs, k=60)) for i in range(60)}
+    deep, flat = ({r.doc_id: r for r in context_tree.score_texts(frame(spark, rows), page_bytes=4000, shard_bytes=4000, **how).collect()} for how in ({}, {"depth": 4}))
+    held = [i for i in rows if deep[i].held_out]
+    assert held and all(deep[i].score > 0.9 * flat[i].score for i in held)  # scores are negative
+    train = [np.frombuffer(("\0" * 7 + t + "\0").encode(), np.uint8) for i, t in rows.items() if not deep[i].held_out]
+    strings = Counter(int.from_bytes(x[p : p + 8].tobytes(), "big") for x in train for p in range(len(x) - 7))
+    codes = np.array(sorted(strings), np.uint64)
+    levels = context_tree.build_levels(codes, np.array([strings[int(c)] for c in codes]), 7, 0)
+    for i in held:
+        x = ("\0" * 7 + rows[i] + "\0").encode()
+        asked = np.array([int.from_bytes(x[p : p + 8], "big") for p in range(len(x) - 7)], np.uint64)
+        assert math.isclose(deep[i].score, context_tree.byte_scores(asked, levels, 7).sum(), rel_tol=1e-9)
+
+
 def test_kneser_ney(spark, docs):
     rnd = random.Random(8)
     rows = docs | {i: " ".join(rnd.choices(WORDS, k=40)) for i in range(100, 200)} | {i: "".join(rnd.choices("#%&*zqxj", k=200)) for i in range(300, 310)}
