@@ -3,20 +3,21 @@
 Base entities are e-mail and IP addresses, payment cards and phone numbers, matched left-most and
 non-overlapping per kind; a match that fails its check is dropped.
 
-Terms: each mention of an entity has a context, the ``window`` words on each side. Over the corpus,
-with ``N`` documents, ``n(e)`` of them holding entity ``e``, ``n(t)`` holding term ``t`` and ``n(e,t)``
-distinct contexts of ``e`` with ``t``, the share of the information of ``e`` that ``t`` gives away is
+Terms: each mention of an entity has a context, the ``window`` words on each side. All numbers count
+distinct texts: ``N`` of them, ``n(e)`` holding entity ``e``, ``n(t)`` holding term ``t`` and ``n(e,t)``
+with ``t`` in a context of ``e``. The share of the information of ``e`` that ``t`` gives away is
 
-    disclosure(t, e) = log2(N n(e,t) / (n(t) n(e))) / log2(N / n(e))
+    disclosure(t, e) = log2(N p / n(e)) / log2(N / n(e))
 
-A term with at least ``min_contexts`` contexts and a disclosure of ``generalise_at`` or more is
-generalised to a placeholder wherever it occurs, from ``remove_at`` on it is removed. Copies of a
-context count once, so copying a page makes none of its words disclosive.
+where ``p`` is the lower end of Wilson's interval (``z`` standard errors) of the share ``n(e,t) / n(t)``,
+so few texts weigh less but are not left out. A term with a disclosure of ``generalise_at`` or more is
+generalised to a placeholder wherever it occurs, from ``remove_at`` on it is removed. Copies of a text
+count once on all sides, so copying a page changes nothing.
 
 A context has a fixed number of words, so counting is linear in the mentions; no pairs of documents
-or of terms are formed. Terms that reach ``min_contexts`` are counted over all texts, summed in each
-task; only occurrences of disclosive terms become rows. Both scans know their terms by a Bloom filter
-of fixed size, and exact joins follow.
+or of terms are formed. Terms that could be disclosive if they stood nowhere else are counted over
+all texts, summed in each task; only occurrences of disclosive terms become rows. Both scans know
+their terms by a Bloom filter of fixed size, and exact joins follow.
 
 Null and empty texts have no spans. Documents with the same id and text are one row in
 ``find_spans``; ``sanitise`` keeps every row. Ids may be null. Extra columns are kept by ``sanitise``
@@ -31,17 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rankloom.llm.kernels import ALNUM, LOWER, code_points, ragged, span_hashes, text_slices, word_spans
 from rankloom.llm.tables import bloom_words, doc_rows, in_bloom, join_by, stored
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 6
-MIN_CONTEXTS = 3
+Z = 1.645  # one-sided 95 %
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
-MIN_TERM_BYTES = 4
+MIN_TERM_CHARS = 2
 BLOOM_BITS = 1 << 24
 
 # the local part is found backwards from each @, so that long runs without one cost nothing
@@ -104,16 +105,16 @@ def _entity(kind: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-_BASE_TYPES = "doc_id long, key long, n_email long, n_ip long, n_card long, n_phone long, base string, contexts array<struct<e:long,t:long,c:long>>"
+_BASE_TYPES = "doc_id long, key long, n_email long, n_ip long, n_card long, n_phone long, base string, contexts array<struct<e:long,t:long>>"
 
 
 def _find_base(window: int):
-    """Base spans of every row, and one ``(entity, term, context)`` for every term near a mention."""
+    """Base spans of every row, and one ``(entity, term)`` for every term near a mention."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches, "text"):
             counts = np.zeros((4, part.num_rows), dtype=np.int64)
-            base, entities, terms, contexts, per_row = [], [], [], [], np.zeros(part.num_rows, np.int64)
+            base, entities, terms, per_row = [], [], [], np.zeros(part.num_rows, np.int64)
             for r, text in enumerate(part.column("text").to_pylist()):
                 spans = base_spans(text)
                 base.append(spans_string(spans))
@@ -130,19 +131,17 @@ def _find_base(window: int):
                     inside[np.searchsorted(last, s, side="right") : np.searchsorted(first, e)] = True
                 free = np.flatnonzero(~inside)
                 words = span_hashes(raw, starts[free], ends[free])
-                long_enough = (ends - starts)[free] >= MIN_TERM_BYTES
+                long_enough = (last - first)[free] >= MIN_TERM_CHARS
                 for k, s, e in spans:
                     at = int(np.searchsorted(first[free], s))
                     near = slice(max(at - window, 0), at + window)
-                    context = int.from_bytes(hashlib.blake2b(words[near].tobytes(), digest_size=8).digest(), "little", signed=True)
                     found = np.unique(words[near][long_enough[near]])
                     entities += [_entity(k, text[s:e])] * len(found)
                     terms += found.view(np.int64).tolist()
-                    contexts += [context] * len(found)
                     per_row[r] += len(found)
             bounds = np.zeros(part.num_rows + 1, dtype=np.int32)
             np.cumsum(per_row, out=bounds[1:])
-            structs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (entities, terms, contexts)], ["e", "t", "c"])
+            structs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (entities, terms)], ["e", "t"])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("key"), *(pa.array(counts[k]) for k in range(4)), pa.array(base, pa.string()), pa.ListArray.from_arrays(pa.array(bounds), structs)],
                 ["doc_id", "key", *(f"n_{k}" for k in KINDS), "base", "contexts"],
@@ -159,8 +158,8 @@ def _find_terms(bloom: np.ndarray):
             lower = LOWER[data]
             starts, ends, row = word_spans(lower, offsets, ALNUM)
             words = span_hashes(lower, starts, ends)
-            hit = np.flatnonzero(in_bloom(bloom, words) & (ends - starts >= MIN_TERM_BYTES))
             chars = code_points(data, offsets)
+            hit = np.flatnonzero(in_bloom(bloom, words) & (chars[ends] - chars[starts] >= MIN_TERM_CHARS))
             order = hit[np.lexsort((starts[hit], words[hit], row[hit]))]
             r, w = row[order], words[order]
             new = np.ones(len(order), dtype=bool)
@@ -183,46 +182,54 @@ def _find_terms(bloom: np.ndarray):
 
 
 def _count_terms(bloom: np.ndarray):
-    """Documents of the task that hold each term of the filter."""
+    """Texts of the task that hold each term of the filter; each of ``times`` copies is a share of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for _, data, offsets in text_slices(batches, "text"):
+        terms, counts = np.zeros(0, np.uint64), np.zeros(0)
+        for part, data, offsets in text_slices(batches, "text"):
             lower = LOWER[data]
             starts, ends, row = word_spans(lower, offsets, ALNUM)
             words = span_hashes(lower, starts, ends)
-            hit = np.flatnonzero(in_bloom(bloom, words) & (ends - starts >= MIN_TERM_BYTES))
+            chars = code_points(data, offsets)
+            hit = np.flatnonzero(in_bloom(bloom, words) & (chars[ends] - chars[starts] >= MIN_TERM_CHARS))
+            share = 1 / part.column("times").to_numpy()
             order = hit[np.lexsort((words[hit], row[hit]))]
             r, w = row[order], words[order]
             new = np.ones(len(order), dtype=bool)
             new[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
             terms, at = np.unique(np.concatenate([terms, w[new]]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([counts, np.ones(int(new.sum()), np.int64)]), minlength=len(terms)).astype(np.int64)
+            counts = np.bincount(at, weights=np.concatenate([counts, share[r[new]]]), minlength=len(terms))
             if len(terms) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
-                terms, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                terms, counts = np.zeros(0, np.uint64), np.zeros(0)
         yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
 
     return run
 
 
-def _found(docs: DataFrame, window: int, min_contexts: int, generalise_at: float, remove_at: float, bloom_bits: int) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, window: int, z: float, generalise_at: float, remove_at: float, bloom_bits: int) -> tuple[DataFrame, DataFrame]:
     """Base rows of all documents, and ``doc_id, key, terms`` of those with disclosive terms."""
     rows = doc_rows(docs).withColumn("key", F.xxhash64("text"))
     base = stored(rows.mapInArrow(_find_base(window), _BASE_TYPES), "pii_base")
-    mentions = base.select("doc_id", "key", F.explode("contexts").alias("x")).select("doc_id", "key", "x.*")
-    pairs = mentions.select("e", "t", "c").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= min_contexts)
-    pairs = stored(pairs, "pii_pairs")
-    n_e = mentions.select("e", "doc_id", "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    counted = rows.mapInArrow(_count_terms(bloom_words(pairs, "t", bloom_bits)), "t long, n long")
-    n_t = counted.groupBy("t").agg(F.sum("n").alias("n_t"))
-    n = float(base.count())
-    pmi = F.log2(F.lit(n) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
+    mentions = base.select("key", F.explode("contexts").alias("x")).select("key", "x.*")
+    n = float(base.select("key").distinct().count())
+    n_e = stored(mentions.select("e", "key").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e")), "pii_entities")
     information = F.log2(F.lit(n) / F.col("n_e"))
+
+    def disclosure(n_t: Column) -> Column:
+        share, error = F.least(F.col("n_et") / n_t, F.lit(1.0)), F.lit(z * z) / n_t
+        low = (share + error / 2 - F.lit(z) * F.sqrt(share * (1 - share) / n_t + error / (4 * n_t))) / (1 + error)
+        return F.when((information > 0) & (low > 0), (information + F.log2(low)) / information).otherwise(0.0)
+
+    pairs = mentions.select("e", "t", "key").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_et"))
+    pairs = stored(pairs.join(n_e, "e").where(disclosure(F.col("n_et")) >= generalise_at), "pii_pairs")
+    copies = stored(base.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "pii_copies")
+    weighed = join_by(rows, copies, ["key"], "left").select("text", F.coalesce("times", F.lit(1)).alias("times"))
+    counted = weighed.mapInArrow(_count_terms(bloom_words(pairs, "t", bloom_bits)), "t long, n double")
+    n_t = counted.groupBy("t").agg(F.round(F.sum("n")).alias("n_t"))
     flagged = (
-        pairs.join(n_e, "e")
-        .join(n_t, "t")
-        .withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(0.0))
+        pairs.join(n_t, "t")
+        .withColumn("disclosure", disclosure(F.col("n_t")))
         .groupBy("t")
         .agg(F.max("disclosure").alias("disclosure"))
         .where(F.col("disclosure") >= generalise_at)
@@ -242,14 +249,14 @@ def find_spans(
     docs: DataFrame,
     *,
     window: int = WINDOW,
-    min_contexts: int = MIN_CONTEXTS,
+    z: float = Z,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
     bloom_bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base, terms``: ``base`` as kind:start:end,…; ``terms``
     an array of ``(s, e, gone)`` in code points that lie outside the base spans."""
-    base, terms = _found(docs, window, min_contexts, generalise_at, remove_at, bloom_bits)
+    base, terms = _found(docs, window, z, generalise_at, remove_at, bloom_bits)
     none = F.array().cast("array<struct<s:int,e:int,gone:boolean>>")
     joined = join_by(base.drop("contexts").distinct(), terms, ["doc_id", "key"], "left").withColumn("terms", F.coalesce("terms", none))
     taken = F.transform(F.split("base", ","), lambda x: F.struct(F.split(x, ":")[1].cast("int").alias("s"), F.split(x, ":")[2].cast("int").alias("e")))
@@ -278,13 +285,13 @@ def sanitise(
     *,
     text_col: str = "text",
     window: int = WINDOW,
-    min_contexts: int = MIN_CONTEXTS,
+    z: float = Z,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
     bloom_bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """``docs`` with all its columns and rows, personal data and disclosive terms taken out of the text."""
-    _, terms = _found(docs.withColumnRenamed(text_col, "text"), window, min_contexts, generalise_at, remove_at, bloom_bits)
+    _, terms = _found(docs.withColumnRenamed(text_col, "text"), window, z, generalise_at, remove_at, bloom_bits)
     columns = docs.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
     keyed = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"))

@@ -96,6 +96,22 @@ def test_disclosive_terms(spark):
         assert [rows[i][t.s : t.e] for t in found[i]] == (["zanzibar"] if i < 5 else [])
 
 
+def test_disclosive_terms_of_copies_and_footers(spark):
+    rnd = random.Random(2)
+    filler = "alpha beta gamma delta kappa omega".split()
+    rows = {i: " ".join(rnd.choices(filler, k=12)) for i in range(2000)}
+    for i in range(6):  # a footer: one context, several texts
+        rows[i] += " quorn Ng ceo@corp.com"
+    for i in range(10, 210):  # a page copied often, and two more texts
+        rows[i] = "alpha beta zanzibar boss@corp.com"
+    rows[210] += " zanzibar kappa boss@corp.com"
+    rows[211] += " zanzibar gamma boss@corp.com"
+    rows[300] += " hapax one@corp.com"
+    found = {r.doc_id: [rows[r.doc_id][t.s : t.e] for t in r.terms] for r in pii.find_spans(frame(spark, rows)).collect()}
+    assert found[0] == ["quorn", "Ng"] and found[10] == found[210] == found[211] == ["zanzibar"] and found[300] == ["hapax"]
+    assert not any(found[i] for i in range(400, 2000))
+
+
 @pytest.mark.parametrize("n, percent, slots, salt", [(3, 90, 1 << 17, 4096), (3, 60, 1 << 16, 2), (5, 80, 1 << 16, 4096)])
 def test_jaccard(spark, docs, monkeypatch, n, percent, slots, salt):
     monkeypatch.setattr(jaccard_join, "_SALT_ROWS", salt)
