@@ -33,7 +33,6 @@ from rankloom.llm.tables import bounded_batches, components, join_by, stored
 SAMPLE = 20_000
 SUBSPACES = 8
 CODEWORDS = 256
-MARGIN = 0.2
 BLOCK = 1024
 
 
@@ -219,7 +218,12 @@ def _search(quantiser: Quantiser, width: int, threshold: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, margin: float = MARGIN, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
+def _margin(threshold: float) -> float:
+    """How far the nearer of two linked unit vectors can lie from any plane between them: half their distance."""
+    return max((1 - threshold) / 2, 0.0) ** 0.5 + 1e-9
+
+
+def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding)."""
     rows = bounded_batches(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     common = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("w")).count().orderBy(F.col("count").desc(), "w").first()
@@ -233,7 +237,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, margin: float
         quantiser = fit(_units([r["vector"] for r in picked], width), max(1, min(1024, int(n**0.5))))
         index = stored(
             classes.select("class", "times", "vector").repartition("class").mapInArrow(
-                _index(quantiser, width, margin), "class long, times long, vector binary, list int, code binary, left double, probes array<int>"
+                _index(quantiser, width, _margin(threshold)), "class long, times long, vector binary, list int, code binary, left double, probes array<int>"
             ),
             "pq_index",
         )

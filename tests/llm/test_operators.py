@@ -168,6 +168,18 @@ def test_product_quantiser(spark):
     assert product_quantiser.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.8, 0.5])
+def test_product_quantiser_probes_every_link(threshold):
+    """Two vectors at the threshold, mirrored at the plane between two cells, find each other."""
+    cos = threshold + 1e-9
+    one, two = (np.array([(1 + cos) ** 0.5, s * (1 - cos) ** 0.5]) / 2**0.5 for s in (1, -1))
+    quantiser = product_quantiser.Quantiser(np.array([[0.5, 0.4], [0.5, -0.4]]), np.zeros((1, 1, 2)), np.array([0, 2]))
+    x = np.array([one, two])
+    lists = quantiser.encode(x)[0]
+    probes = quantiser.probes(x, lists, product_quantiser._margin(threshold))
+    assert lists[0] != lists[1] and (lists[1] in probes[0] or lists[0] in probes[1])
+
+
 def test_toxicity(spark):
     rnd = random.Random(3)
     rows, labels = {}, []
