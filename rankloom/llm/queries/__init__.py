@@ -15,6 +15,9 @@ MODULES = (
     "repeated_spans_query",
     "token_files_query",
     "context_tree_query",
+    "conversation_repair_query",
+    "whitening_query",
+    "warc_query",
 )
 
 
