@@ -38,13 +38,23 @@ def _part(rows, name):
     return rows.where(F.col("split") == name).select("row_id", "text", "label")
 
 
-def tfidf_features(spark, sf):
+def _tfidf_features(max_features=None):
     """Validation features after a fit on the training part, summed per row."""
+
+    def query(spark, sf):
+        rows = _split_rows(spark, sf)
+        f = cl.fit_features(_part(rows, "train"), max_features=max_features).transform(_part(rows, "val"))
+        return f.groupBy("row_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("idx").alias("idx_total"), F.round(F.sum("weight"), 6).alias("weight_total")
+        )
+
+    return query
+
+
+def vocabulary(spark, sf):
+    """All terms of the training part with their column numbers."""
     rows = _split_rows(spark, sf)
-    f = cl.fit_features(_part(rows, "train")).transform(_part(rows, "val"))
-    return f.groupBy("row_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("idx").alias("idx_total"), F.round(F.sum("weight"), 6).alias("weight_total")
-    )
+    return cl.fit_features(_part(rows, "train")).vocabulary.select("term", "idx", "df", "cf")
 
 
 def count_features(spark, sf):
@@ -67,7 +77,7 @@ def embedding_features(spark, sf):
 def _nb(rows, target):
     model = cl.fit_features(_part(rows, "train"))
     train = _part(rows, "train")
-    nb = cl.fit_naive_bayes(model.transform(train), train.select("row_id", "label"), model.vocabulary)
+    nb = cl.fit_naive_bayes(model.transform(train, keep=["label"]), train.select("row_id", "label"), model.vocabulary)
     return nb, model.transform(target)
 
 
@@ -102,10 +112,13 @@ def class_probabilities(spark, sf):
 
 
 def ablation(spark, sf):
-    """All features with all classifiers on the quality labels, ranked by macro F1."""
+    """All features with all classifiers on the quality labels, ranked by macro F1.
+
+    The perceptron has a weight per term and hidden unit, so the caller bounds the vocabulary here.
+    """
     rows = _split_rows(spark, sf, labelled(spark, sf))
     train = _part(rows, "train")
-    models = {kind: cl.fit_features(train, kind) for kind in cl.FEATURES}
+    models = {kind: cl.fit_features(train, kind, max_features=50_000) for kind in cl.FEATURES}
     table = studies.feature_ablation(rows, models, cl.METHODS)
     return table.orderBy(F.col("macro_f1").desc())
 
@@ -125,7 +138,7 @@ def docs_and_queries(spark, sf):
     titles = fx.title_queries(spark, sf)
     queries = titles.select(F.concat(F.lit("q"), "qid").alias("row_id"), F.col("content").alias("text"), F.col("category").alias("label"))
     model = cl.fit_features(train)
-    nb = cl.fit_naive_bayes(model.transform(train), train.select("row_id", "label"), model.vocabulary)
+    nb = cl.fit_naive_bayes(model.transform(train, keep=["label"]), train.select("row_id", "label"), model.vocabulary)
     target = train.unionByName(queries)
     predicted = nb.predict(model.transform(target), target).join(target.select("row_id", "label"), "row_id")
     side = F.when(F.startswith("row_id", F.lit("d")), "docs").otherwise("queries")
@@ -134,7 +147,9 @@ def docs_and_queries(spark, sf):
 
 QUERIES = {
     "c1_stratified_split": split,
-    "c2_tfidf_features": tfidf_features,
+    "c2_tfidf_features": _tfidf_features(),
+    "c2_tfidf_features_50k": _tfidf_features(50_000),
+    "c2_vocabulary": vocabulary,
     "c3_count_features": count_features,
     "c4_embedding_features": embedding_features,
     "c5_naive_bayes": naive_bayes,
@@ -153,19 +168,25 @@ _SRC = "src AS (SELECT 'd' || doc_id AS row_id, body AS text, lang AS label FROM
 _SPLIT = [sp.RAW, _SRC, SPLIT.format(src="src")]
 _PARTS = [*_SPLIT] + [f"{n} AS (SELECT row_id, text, label FROM sx WHERE split = '{n}')" for n in ("train", "val", "test")]
 _NB = [*_PARTS, sp.naive_bayes("nb", "train", "test")]
-_FEATURES = [
-    *_PARTS,
-    sp.grams("tg", "train", "row_id", "text"),
-    sp.grams("vg", "val", "row_id", "text"),
-    sp.vocabulary("v", "tg", 50000),
-    sp.tfidf_weights("w", "vg", "v", "train", "row_id"),
-]
+def _features(size=None):
+    return [
+        *_PARTS,
+        sp.grams("tg", "train", "row_id", "text"),
+        sp.grams("vg", "val", "row_id", "text"),
+        sp.vocabulary("v", "tg", size),
+        sp.tfidf_weights("w", "vg", "v", "train", "row_id"),
+    ]
+
+
+_SUMMED = "SELECT row_id, count(*) AS n, CAST(sum(idx) AS BIGINT) AS idx_total, round(sum(weight), 6) AS weight_total FROM w JOIN v USING (term) GROUP BY row_id"
 
 ORACLE = {
     "c1_stratified_split": sp.with_(*_SPLIT) + "SELECT row_id, label, split FROM sx",
-    "c2_tfidf_features": sp.with_(*_FEATURES)
-    + "SELECT row_id, count(*) AS n, CAST(sum(idx) AS BIGINT) AS idx_total, round(sum(weight), 6) AS weight_total FROM w JOIN v USING (term) GROUP BY row_id",
-    "c3_count_features": sp.with_(*_FEATURES)
+    "c2_tfidf_features": sp.with_(*_features()) + _SUMMED,
+    "c2_tfidf_features_50k": sp.with_(*_features(50000)) + _SUMMED,
+    "c2_vocabulary": sp.with_(*_PARTS, sp.grams("tg", "train", "row_id", "text"), sp.vocabulary("v", "tg"))
+    + "SELECT term, idx, df, CAST(cf AS BIGINT) AS cf FROM v",
+    "c3_count_features": sp.with_(*_features())
     + "SELECT row_id, count(*) AS n, CAST(sum(idx) AS BIGINT) AS idx_total, CAST(sum(tf) AS BIGINT) AS weight_total FROM vg JOIN v USING (term) GROUP BY row_id",
     "c4_embedding_features": sp.with_(*_PARTS, "ct AS (SELECT row_id, text AS content FROM test)", sp.hashed("h", "ct", "row_id"))
     + "SELECT row_id, CAST(64 AS INTEGER) AS dim, round(coalesce(max(v) FILTER (i = 0), 0), 6) AS first FROM ct LEFT JOIN h USING (row_id) GROUP BY row_id",

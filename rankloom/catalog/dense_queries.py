@@ -10,6 +10,7 @@ from rankloom.catalog import sqlparts as sp
 from rankloom.catalog.lexical_queries import out
 from rankloom.functions.vectors import norm, truncate_dims
 from rankloom.operators import dense as de
+from rankloom.operators.common import materialise
 
 
 def long_vectors(df, key):
@@ -74,7 +75,7 @@ def unit_norm(spark, sf):
 
 def knn(spark, sf):
     """All documents' hash vectors against every title."""
-    docs, queries = de.build_vectors(fx.docs(spark, sf), fx.title_queries(spark, sf))
+    docs, queries = map(materialise, de.build_vectors(fx.docs(spark, sf), fx.title_queries(spark, sf)))
     return out(de.knn_search(docs, queries, 100))
 
 

@@ -10,6 +10,7 @@ MODULES = (
     "sampling_queries",
     "join_queries",
     "lexical_queries",
+    "index_queries",
     "dense_queries",
     "fusion_queries",
     "rerank_queries",

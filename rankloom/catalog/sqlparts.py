@@ -169,10 +169,12 @@ def grams(name: str, source: str, key: str, text: str) -> str:
 {name} AS (SELECT {key}, term, count(*) AS tf FROM {name}_g GROUP BY ALL)"""
 
 
-def vocabulary(name: str, counts: str, size: int) -> str:
+def vocabulary(name: str, counts: str, size: int | None = None) -> str:
+    """All terms, or the ``size`` most frequent."""
+    cut = "" if size is None else f" ORDER BY cf DESC, term LIMIT {size}"
     return f"""{name} AS (
   SELECT term, cf, df, row_number() OVER (ORDER BY term) - 1 AS idx
-  FROM (SELECT term, sum(tf) AS cf, count(*) AS df FROM {counts} GROUP BY term ORDER BY cf DESC, term LIMIT {size}))"""
+  FROM (SELECT term, sum(tf) AS cf, count(*) AS df FROM {counts} GROUP BY term{cut}))"""
 
 
 def tfidf_weights(name: str, counts: str, vocab: str, train: str, key: str) -> str:
@@ -182,7 +184,7 @@ def tfidf_weights(name: str, counts: str, vocab: str, train: str, key: str) -> s
 {name} AS (SELECT {key}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS weight FROM {name}_r)"""
 
 
-def naive_bayes(name: str, train: str, target: str, key: str = "row_id", size: int = 50000) -> str:
+def naive_bayes(name: str, train: str, target: str, key: str = "row_id", size: int | None = None) -> str:
     """TF-IDF Naive Bayes: ``name(key, category, jll)``, ``name_p(key, category, p)``, ``name_y(key, prediction)``.
 
     ``train(row_id, text, label)``, ``target(row_id, text)``.

@@ -1,33 +1,29 @@
 """Text features, splits and category classifiers.
 
-Features stay in long form ``(row_id, idx, weight)`` until an ML estimator needs a
-vector. The vocabulary is bounded by ``max_features`` and broadcast where its measured size allows.
+Features stay in long form ``(row_id, idx, weight)`` until an estimator needs a vector. The
+vocabulary keeps all terms unless the caller asks for the ``max_features`` most frequent; it is numbered by
+ranges of terms and prefix sums and broadcast where its measured size allows, so it may grow with the corpus.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import (
-    LinearSVC,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    NaiveBayes,
-    OneVsRest,
-)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rankloom.functions.text import ngrams, word_tokens
-from rankloom.operators.common import hash_rank, join_bounded, materialise
+from rankloom.operators.common import global_position, hash_rank, join_bounded, materialise
 from rankloom.operators.dense import encode_texts
 from rankloom.operators.lexical import LENGTH_ROW, count_terms, smoothed_idf
+from rankloom.operators.linear import fit_svm, pack
 
 # --- fixed values -----------------------------------------------------------
 RANDOM_SEED = 42
-MAX_FEATURES = 50_000
 NGRAM_RANGE = (1, 2)
 VAL_SIZE = 0.15
 TEST_SIZE = 0.15
@@ -38,6 +34,7 @@ HIDDEN_UNITS = 100
 # ----------------------------------------------------------------------------
 
 MIN_ROWS_PER_TASK = 5_000
+MAX_VECTOR = (1 << 31) - 1  # an ML vector counts its entries in 32 bits
 
 
 def labelled_texts(docs: DataFrame, queries: DataFrame | None = None, text_col: str = "content") -> DataFrame:
@@ -81,47 +78,64 @@ def stratified_split(
     return ranked.withColumn("split", split).drop("rn", "group_size")
 
 
-def gram_counts(df: DataFrame, text_col: str = "text", ngram_range: tuple[int, int] = NGRAM_RANGE) -> DataFrame:
-    """``(row_id, term, tf)`` over word n-grams, counted inside each row."""
-    tokens = df.select("row_id", word_tokens(text_col).alias("_w"))
-    counted = count_terms(tokens, ["row_id"], ngrams("_w", *ngram_range))
-    return counted.where(F.col("term") != LENGTH_ROW).select("row_id", "term", "tf")
+def gram_counts(
+    df: DataFrame, text_col: str = "text", ngram_range: tuple[int, int] = NGRAM_RANGE, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(row_id, keep…, term, tf)`` over word n-grams, counted inside each row."""
+    keys = ["row_id", *keep]
+    tokens = df.select(*keys, word_tokens(text_col).alias("_w"))
+    counted = count_terms(tokens, keys, ngrams("_w", *ngram_range))
+    return counted.where(F.col("term") != LENGTH_ROW).select(*keys, "term", "tf")
 
 
 @dataclass(frozen=True)
 class FeatureModel:
-    """Vocabulary ``(term, idx, df)`` of the training rows, at most ``max_features`` terms."""
+    """Vocabulary ``(term, idx, df, cf)`` of the training rows; ``width`` is its size."""
 
     kind: str
     vocabulary: DataFrame | None
     n_rows: int
-    max_features: int
+    width: int
     ngram_range: tuple[int, int]
     sublinear_tf: bool = True
     encoder: dict = field(default_factory=dict)
 
-    def transform(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        """Long features ``(row_id, idx, weight)``; rows without known terms have none."""
-        counts = gram_counts(df, text_col, self.ngram_range)
-        known = join_bounded(counts, self.vocabulary, "term", salt_by="row_id")
+    def entries(self, df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+        """``(row_id, keep…, entries)``: a row's known terms as an array of ``(idx, weight)``.
+
+        One exchange: a row's weights and its length come from the same aggregate.
+        """
+        counts = gram_counts(df, text_col, self.ngram_range, keep)
+        known = join_bounded(counts, self.vocabulary.select("term", "idx", "df"), "term", salt_by="row_id")
+        if self.kind == "count":
+            weight = F.col("tf").cast("double")
+        else:
+            tf = 1 + F.ln("tf") if self.sublinear_tf else F.col("tf").cast("double")
+            weight = tf * smoothed_idf(F.lit(self.n_rows), F.col("df"))
+        weighted = known.select("row_id", *keep, "idx", weight.alias("weight"))
+        rows = weighted.groupBy("row_id", *keep).agg(
+            F.collect_list(F.struct("idx", "weight")).alias("entries"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length")
+        )
         if self.kind == "count":
-            return known.select("row_id", "idx", "term", F.col("tf").cast("double").alias("weight"))
-        tf = 1 + F.ln("tf") if self.sublinear_tf else F.col("tf").cast("double")
-        raw = known.withColumn("w", tf * smoothed_idf(F.lit(self.n_rows), F.col("df")))
-        per_row = Window.partitionBy("row_id")
-        length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_row))
-        return raw.select("row_id", "idx", "term", (F.col("w") / length).alias("weight"))
+            return rows.drop("_length")
+        unit = F.transform("entries", lambda e: F.struct(e["idx"].alias("idx"), (e["weight"] / F.col("_length")).alias("weight")))
+        return rows.select("row_id", *keep, unit.alias("entries"))
+
+    def transform(self, df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+        """Long features ``(row_id, keep…, idx, weight)``; rows without known terms have none."""
+        rows = self.entries(df, text_col, keep)
+        return rows.select("row_id", *keep, F.explode("entries").alias("_e")).select("row_id", *keep, "_e.idx", "_e.weight")
 
     def vectors(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """``df`` with an ML ``features`` vector; rows without known terms get an empty one."""
         if self.kind == "embeddings":
             encoded = encode_texts(df, text_col, **self.encoder)
             return encoded.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))).drop("embedding")
-        entries = self.transform(df, text_col).groupBy("row_id").agg(
-            F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e")
-        )
-        joined = df.join(entries, "row_id", "left")
-        return joined.withColumn("features", sparse_vector("_e", self.max_features)).drop("_e")
+        if self.width > MAX_VECTOR:
+            raise ValueError(f"{self.width} terms are no vector: give max_features, or use the Naive Bayes that joins terms")
+        rows = self.entries(df, text_col).select("row_id", F.sort_array("entries").alias("_e"))
+        joined = df.join(rows, "row_id", "left")
+        return joined.withColumn("features", sparse_vector("_e", self.width)).drop("_e")
 
 
 def sparse_vector(entries: Column | str, size: int) -> Column:
@@ -134,7 +148,7 @@ def sparse_vector(entries: Column | str, size: int) -> Column:
     body = F.struct(
         F.lit(0).alias("type"),
         F.lit(size).alias("size"),
-        F.coalesce(F.transform(e, lambda x: x["idx"]), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.transform(e, lambda x: x["idx"].cast("int")), F.array().cast("array<int>")).alias("indices"),
         F.coalesce(F.transform(e, lambda x: x["weight"]), F.array().cast("array<double>")).alias("values"),
     )
     holder = T.StructType([T.StructField("v", VectorUDT())])
@@ -145,25 +159,23 @@ def fit_features(
     train: DataFrame,
     kind: str = "tfidf",
     text_col: str = "text",
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = None,
     ngram_range: tuple[int, int] = NGRAM_RANGE,
     sublinear_tf: bool = True,
     **encoder,
 ) -> FeatureModel:
-    """Fit on training rows only: the most frequent terms, ties in term order."""
+    """Fit on training rows only: all terms, or the ``max_features`` most frequent, ties in term order."""
     if kind not in FEATURES:
         raise ValueError(f"feature method must be one of {FEATURES}, not {kind!r}")
     if kind == "embeddings":
         return FeatureModel(kind, None, 0, encoder.get("dim", 0), ngram_range, encoder=encoder)
     counts = gram_counts(train, text_col, ngram_range)
-    stats = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-    top = stats.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
-    # Column numbers follow term order; the table is bounded by max_features.
-    listed = top.agg(F.sort_array(F.collect_list(F.struct("term", "df", "cf"))).alias("all"))
-    vocabulary = materialise(
-        listed.select(F.posexplode("all").alias("idx", "_t")).select("idx", "_t.term", "_t.df", "_t.cf")
-    )
-    return FeatureModel(kind, vocabulary, train.count(), max_features, ngram_range, sublinear_tf)
+    stats = materialise(counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df")))
+    if max_features is not None:
+        stats = stats.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
+    # column numbers follow term order
+    vocabulary = global_position(stats, "term", "idx")
+    return FeatureModel(kind, vocabulary, train.count(), vocabulary.count(), ngram_range, sublinear_tf)
 
 
 @dataclass(frozen=True)
@@ -199,11 +211,15 @@ class NaiveBayesModel:
 
 
 def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocabulary: DataFrame, alpha: float = NB_ALPHA) -> NaiveBayesModel:
-    """Fit on long features and ``labels(row_id, label)``; ``alpha`` smooths every vocabulary term."""
+    """Fit on long features and ``labels(row_id, label)``; ``alpha`` smooths every vocabulary term.
+
+    Features that carry their ``label`` (``transform(…, keep=["label"])``) need no join with the labels.
+    """
     by_class = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     total = labels.agg(F.count(F.lit(1)).alias("n")).scalar()
     prior = materialise(by_class.select(F.col("label").alias("category"), F.ln(F.col("n") / total).alias("logprior")))
-    mass = features.join(labels, "row_id").groupBy(F.col("label").alias("category"), "idx").agg(F.sum("weight").alias("m"))
+    labelled = features if "label" in features.columns else features.join(labels, "row_id")
+    mass = labelled.groupBy(F.col("label").alias("category"), "idx").agg(F.sum("weight").alias("m"))
     classes = prior.agg(F.collect_list("category").alias("c")).scalar()
     grid = vocabulary.select("idx", F.explode(classes).alias("category"))
     filled = grid.join(mass, ["category", "idx"], "left").withColumn("m", F.coalesce("m", F.lit(0.0)) + alpha)
@@ -215,7 +231,8 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocabulary: DataFram
 class Classifier:
     """Fit and predict with one of the four classifier families on ML vectors.
 
-    ``params`` go to the Spark estimator. ``predict_proba`` is null for ``svc``.
+    ``svc`` is ``linear.LinearSvm`` (``params``: ``c``, ``tol``, ``max_newton``) and has no probabilities; for the
+    others ``params`` go to the Spark estimator.
     """
 
     def __init__(self, method: str = "logreg", **params) -> None:
@@ -237,12 +254,10 @@ class Classifier:
         inverse_c = 1.0 / max(n_rows, 1)
         if self.method == "nb":
             return NaiveBayes(**common, modelType="multinomial", smoothing=NB_ALPHA, **self.params)
-        if self.method == "svc":
-            inner = LinearSVC(**common, **{"regParam": inverse_c, "maxIter": 100, "standardization": False, **self.params})
-            return inner if n_classes == 2 else OneVsRest(classifier=inner, parallelism=min(n_classes, 8), **common)
         if self.method == "logreg":
+            # one weight vector for two classes, one per class beyond; the penalty is per class either way
             settings = {"regParam": inverse_c, "maxIter": 100, "standardization": False, **self.params}
-            return LogisticRegression(**common, family="multinomial", elasticNetParam=0.0, **settings)
+            return LogisticRegression(**common, family="auto", elasticNetParam=0.0, **settings)
         layers = [width, HIDDEN_UNITS, n_classes]
         return MultilayerPerceptronClassifier(**common, layers=layers, **{"seed": RANDOM_SEED, "maxIter": 200, **self.params})
 
@@ -252,6 +267,12 @@ class Classifier:
         classes = list(indexer.labels)
         info = train.agg(F.count(F.lit(1)).alias("n")).first()
         width = train.first()["features"].size
+        if self.method == "svc":
+            if len(classes) < 2:
+                raise ValueError("a classifier needs two classes")
+            self._model = fit_svm(pack(indexer.transform(train)), classes, width, **self.params)
+            self._classes = classes
+            return self
         estimator = self._estimator(info["n"], len(classes), width)
         # an iteration over few rows is all task overhead: small inputs use few tasks
         few = max(1, -(-info["n"] // MIN_ROWS_PER_TASK))
@@ -262,12 +283,11 @@ class Classifier:
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction`` and ``proba`` (map from class to probability)."""
         names = F.array(*[F.lit(c) for c in self.classes])
+        if self.method == "svc":
+            return self._model.predict(df).withColumn("proba", F.lit(None).cast("map<string,double>"))
         scored = self._model.transform(df)
         label = F.get(names, F.col("prediction").cast("int"))
-        if self.method == "svc":
-            proba = F.lit(None).cast("map<string,double>")
-        else:
-            proba = F.map_from_arrays(names, vector_to_array("probability"))
+        proba = F.map_from_arrays(names, vector_to_array("probability"))
         return scored.withColumn("_label", label).withColumn("proba", proba).drop(
             "prediction", "rawPrediction", "probability"
         ).withColumnRenamed("_label", "prediction")

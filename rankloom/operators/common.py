@@ -10,6 +10,7 @@ from rankloom.session import shared_dir
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 DEFAULT_SALTS = 16
+LEVELS, LEVEL_OFFSET = 64, 50_000  # steps per factor of e; more than the logarithm of any double takes
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -110,10 +111,44 @@ def top_per_group(
     )
 
 
+def _level(score: Column) -> Column:
+    """A whole number that never falls where ``score`` grows: 64 steps per factor of e, null lowest, NaN highest."""
+    steps = lambda x: F.floor(F.ln(x) * LEVELS).cast("int") + LEVEL_OFFSET
+    finite = F.when(score > 0, steps(score)).when(score < 0, -steps(-score)).otherwise(0)
+    top = 2 * LEVEL_OFFSET
+    return F.when(score.isNull(), -top).when(F.isnan(score) | (score == float("inf")), top).when(score == float("-inf"), 1 - top).otherwise(finite)
+
+
+def above_kth(df: DataFrame, group: Sequence[str], score: str, k: int) -> DataFrame:
+    """Rows of the stored ``df`` that can be among the first ``k`` of their group by ``score`` descending.
+
+    Scores are counted by level, a partial aggregate that merges wherever a group's rows lie; the level at which
+    ``k`` rows are passed bounds the k-th score from below. Rows under it are dropped where they are,
+    so what a ranking then shuffles doesn't hold the rest of a group, whatever ``k`` is.
+    """
+    levelled = df.withColumn("_level", _level(F.col(score)))
+    counted = levelled.groupBy(*group, "_level").agg(F.count(F.lit(1)).alias("_n"))
+    better = Window.partitionBy(*group).orderBy(F.col("_level").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    reached = counted.withColumn("_before", F.coalesce(F.sum("_n").over(better), F.lit(0))).where(F.col("_before") < k)
+    bounds = reached.groupBy(*group).agg(F.min("_level").alias("_bound"))
+    bounds = materialise(bounds.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_bound"))
+    same = F.col("_level") >= F.col("_bound")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    side = F.broadcast(bounds) if fits_broadcast(bounds) else bounds
+    return levelled.join(side, same).drop("_level", "_bound", *[f"_g_{g}" for g in group])
+
+
 def top_k(scored: DataFrame, k: int, *, group: Sequence[str] = ("qid",), digits: int = 9) -> DataFrame:
-    """Rank ``(qid, doc_id, score)`` rows: rounded score descending, then doc_id."""
+    """Rank ``(qid, doc_id, score)`` rows: rounded score descending, then doc_id.
+
+    Spark cuts a ranking before its exchange up to a length it is configured for; beyond that
+    length ``above_kth`` does.
+    """
     order = [F.col("_key").desc(), F.col("doc_id").asc()]
     keyed = scored.withColumn("_key", F.round("score", digits))
+    if k > int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        keyed = above_kth(materialise(keyed), group, "_key", k)
     return top_per_group(keyed, list(group), order, k, spread_by=["doc_id"]).drop("_key")
 
 
@@ -143,6 +178,22 @@ def hash_rank(df: DataFrame, group: str, id_col: str, seed: int, rank_col: str =
     )
 
 
+def global_position(df: DataFrame, key: str, out: str, rows_per_part: int = 200_000) -> DataFrame:
+    """Stored rows of ``df`` with ``out``: the 0-based position in the order of the unique column ``key``.
+
+    Ranges of the key are sorted apart; the rows before a range are a prefix sum over as many
+    counts as there are ranges.
+    """
+    parts = max(1, -(-df.count() // rows_per_part))
+    ranged = materialise(df.repartitionByRange(parts, key).withColumn("_p", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counted.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1
+    placed = ranged.withColumn("_r", inside).join(F.broadcast(offsets), "_p")
+    return materialise(placed.withColumn(out, F.col("_before") + F.col("_r")).drop("_p", "_r", "_before"))
+
+
 def bucket_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
     """Exact 1-based rank of every row inside ``group`` by ``bucket`` (nulls last), then ``order``.
 
@@ -161,6 +212,44 @@ def bucket_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Sequenc
     return ranked.withColumn(rank_col, (F.col("_before") + F.col("_r")).cast("int")).drop("_r", "_before", *[f"_o_{c}" for c in keys])
 
 
+FREE_BUCKET = 1 << 16
+FREE_STEP = 4096
+
+
+def free_ids(positions: DataFrame, n: int, taken: DataFrame, need: DataFrame) -> DataFrame:
+    """``(qid, doc_id, free)``: per query the first ``need`` ids that are not taken, ``free`` counting from 0.
+
+    ``positions(doc_id, pos)`` numbers ``n`` ids, ``taken(qid, doc_id)`` are distinct, ``need(qid, need)`` must not
+    exceed the ids left. Taken ids are counted per bucket of positions, which tells how many free ones lie before
+    each bucket; inside the buckets that matter, gaps between taken positions are unrolled in
+    steps. No list of ids is built, neither per query nor for all.
+    """
+    placed = materialise(taken.select("qid", "doc_id").join(positions, "doc_id").select("qid", "pos", F.expr(f"pos div {FREE_BUCKET}").alias("b")))
+    counted = placed.groupBy("qid", "b").agg(F.count(F.lit(1)).alias("_n"))
+    totals = counted.groupBy("qid").agg(F.sum("_n").alias("_all"))
+    wanted = need.where("need > 0").join(totals, "qid", "left").withColumn("_all", F.coalesce("_all", F.lit(0)))
+    last = F.least(F.lit((n - 1) // FREE_BUCKET), F.expr(f"(need + _all) div {FREE_BUCKET}"))
+    grid = wanted.select("qid", "need", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("b"))
+    before = Window.partitionBy("qid").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    started = grid.join(counted, ["qid", "b"], "left").withColumn("_gone", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    started = started.withColumn("_free", F.col("b") * FREE_BUCKET - F.col("_gone")).where("_free < need").select("qid", "need", "b", "_free")
+    # gaps: from each taken position (or the bucket's start) to the next one (or its end)
+    edges = started.select("qid", "b", (F.col("b") * FREE_BUCKET - 1).alias("pos"))
+    inside = join_bounded(placed, started.select("qid", "b"), ["qid", "b"], "left_semi").select("qid", "b", "pos")
+    order = Window.partitionBy("qid", "b").orderBy("pos")
+    end = F.least(F.lit(n), (F.col("b") + 1) * FREE_BUCKET)
+    gaps = edges.unionByName(inside).select("qid", "b", "pos", F.coalesce(F.lead("pos").over(order), end).alias("_to"), (F.row_number().over(order) - 1).alias("_i"))
+    gaps = gaps.join(started, ["qid", "b"])
+    # the bucket's start stands for no taken id, so _i taken ones lie before the gap
+    at = F.col("_free") + F.col("pos") + 1 - F.col("b") * FREE_BUCKET - F.col("_i")
+    length = F.least(F.col("_to") - F.col("pos") - 1, F.col("need") - F.col("_at"))
+    runs = gaps.withColumn("_at", at).withColumn("_len", length).where("_len > 0")
+    steps = runs.select("qid", "pos", "_at", "_len", F.explode(F.expr(f"sequence(0L, _len - 1, {FREE_STEP}L)")).alias("_s"))
+    rows = steps.select("qid", "pos", "_at", F.explode(F.expr(f"sequence(_s, least(_s + {FREE_STEP}, _len) - 1)")).alias("_o"))
+    found = rows.select("qid", (F.col("pos") + 1 + F.col("_o")).alias("pos"), (F.col("_at") + F.col("_o")).alias("free"))
+    return join_bounded(found, positions, "pos", salt_by="qid").select("qid", "doc_id", "free")
+
+
 def attach_docs(run: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Run rows with document columns; the run is the small side, the corpus stays in place."""
     run = materialise(run)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,9 @@ QUANTISE_STEPS = 255
 # ----------------------------------------------------------------------------
 
 DEFAULT_DIM = 64
-QUERY_CHUNK_BYTES = 64 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024  # of vectors, on either side of a cell
+MIN_BLOCK_ROWS = 500
+PRODUCT_CELLS = 1 << 22  # numbers in one matrix product
 
 
 def hash_encode(df: DataFrame, text_col: str = "content", dim: int = DEFAULT_DIM, out: str = "embedding") -> DataFrame:
@@ -168,14 +170,17 @@ def knn_search(
     k: int,
     *,
     assume_normalized: bool = True,
-    chunk_bytes: int = QUERY_CHUNK_BYTES,
+    chunk_bytes: int = BLOCK_BYTES,
+    blocks: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Exact cosine top ``k`` as ``(qid, rank, doc_id, score)``.
-
-    Queries travel to the documents as dense blocks. Their number is counted first
-    and one block never exceeds ``chunk_bytes`` (vectors plus running results), so a
-    large query set simply takes more blocks. Each task multiplies its Arrow batches
-    with the block and keeps its own best ``k`` per query; only those are shuffled.
+    """Exact cosine top ``k`` as ``(qid, rank, doc_id, score)``, on a grid of blocks.
+
+    Both sides are cut by a hash into blocks of about ``chunk_bytes`` (``blocks`` sets
+    their numbers, of queries and of documents). A cell of the grid is one group of a
+    cogroup: a block of queries meets a block of documents in one matrix product and
+    keeps ``k`` rows per query; only these are shuffled again. A vector travels once per
+    block of the other side and never to the driver, which sees two rows of
+    counts. Where all queries are one block, as usual, documents move once.
     """
     if k <= 0:
         raise ValueError(f"a ranking of {k} rows can't be made")
@@ -202,59 +207,55 @@ def knn_search(
         raise ValueError("vectors of several widths can't be compared")
     dim = q_info["lo"]
     plain_dot = assume_normalized and d_info["unit"] and q_info["unit"]
-    row_bytes = dim * 8 + k * 24
-    n_chunks = max(1, -(-q_info["n"] * row_bytes // chunk_bytes))
-    docs = doc_vectors.select("doc_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    pieces = None
-    for i in range(n_chunks):
-        block = query_vectors.select("qid", F.col("embedding").cast("array<double>").alias("embedding"))
-        if n_chunks > 1:
-            block = block.where(F.pmod(F.xxhash64("qid"), F.lit(n_chunks)) == i)
-        arrow = block.toArrow()
-        if arrow.num_rows == 0:
-            continue
-        q_ids = arrow.column("qid").to_pylist()
-        q_matrix = _matrix(arrow.column("embedding"), dim)
-        shared = spark.sparkContext.broadcast((q_ids, q_matrix if plain_dot else _unit(q_matrix)))
-        part = docs.mapInArrow(_block_scorer(shared, dim, k, plain_dot, out_schema), out_schema)
-        pieces = part if pieces is None else pieces.unionByName(part)
-    return top_k(pieces, k).select("qid", "rank", "doc_id", "score")
-
-
-def _block_scorer(shared, dim: int, k: int, plain_dot: bool, out_schema: T.StructType):
+    if blocks is None:
+        row_bytes = dim * 8 + 16
+        q_blocks = max(1, -(-q_info["n"] * row_bytes // chunk_bytes))
+        d_blocks = max(1, -(-d_info["n"] * row_bytes // chunk_bytes))
+        # small inputs still give every core a cell; which cell a row is in doesn't change the result
+        spare = min(spark.sparkContext.defaultParallelism // (q_blocks * d_blocks), d_info["n"] // MIN_BLOCK_ROWS)
+        blocks = (q_blocks, d_blocks * max(1, spare))
+    cells = _grid(query_vectors, "qid", "_q", "_d", blocks), _grid(doc_vectors, "doc_id", "_d", "_q", blocks[::-1])
+    scored = cells[0].cogroup(cells[1]).applyInArrow(_cell_scorer(dim, k, plain_dot, out_schema), out_schema)
+    return top_k(scored, k).select("qid", "rank", "doc_id", "score")
+
+
+def _grid(vectors: DataFrame, key: str, own: str, other: str, blocks: tuple[int, int]):
+    """Rows grouped by cell: each is in one block of its own side and meets all of the other's."""
+    mine, others = blocks
+    return (
+        vectors.select(key, F.col("embedding").cast("array<double>").alias("embedding"))
+        .withColumn(own, F.pmod(F.xxhash64(key, "embedding"), F.lit(mine)).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        .groupBy("_q", "_d")
+    )
+
+
+def _cell_scorer(dim: int, k: int, plain_dot: bool, out_schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow_schema = to_arrow_schema(out_schema)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q_matrix = shared.value
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(q_ids)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = np.array(batch.column("doc_id").to_pylist())
-            d = _matrix(batch.column("embedding"), dim)
-            sims = q_matrix @ (d if plain_dot else _unit(d)).T
-            for row, sim in enumerate(sims):
+    def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
+        if not queries.num_rows or not docs.num_rows:
+            return arrow_schema.empty_table()
+        ids = np.array(docs.column("doc_id").to_pylist())
+        d, q = _matrix(docs.column("embedding"), dim), _matrix(queries.column("embedding"), dim)
+        if not plain_dot:
+            d, q = _unit(d), _unit(q)
+        q_at, d_at, scores = [], [], []
+        step = max(1, PRODUCT_CELLS // len(ids))
+        for start in range(0, len(q), step):
+            for row, sim in enumerate(q[start : start + step] @ d.T, start):
                 keep = _keep_best(np.round(sim, 9), ids, k)
-                s, c = sim[keep], ids[keep]
-                if best[row] is not None:
-                    s, c = np.concatenate([best[row][0], s]), np.concatenate([best[row][1], c])
-                    again = _keep_best(np.round(s, 9), c, k)
-                    s, c = s[again], c[again]
-                best[row] = (s, c)
-        for qid, found in zip(q_ids, best):
-            if found is None:
-                continue
-            n = len(found[0])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([qid] * n, type=arrow_schema.field("qid").type),
-                    pa.array(found[1].tolist(), type=arrow_schema.field("doc_id").type),
-                    pa.array(found[0], type=pa.float64()),
-                ],
-                schema=arrow_schema,
-            )
+                q_at.append(np.full(len(keep), row))
+                d_at.append(keep)
+                scores.append(sim[keep])
+        columns = [
+            queries.column("qid").take(pa.array(np.concatenate(q_at))),
+            docs.column("doc_id").take(pa.array(np.concatenate(d_at))),
+            pa.array(np.concatenate(scores)),
+        ]
+        return pa.table(columns, schema=arrow_schema)
 
     return score
 

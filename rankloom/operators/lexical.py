@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rankloom.functions.arrays import run_lengths
 from rankloom.functions.text import tokenizer
-from rankloom.operators.common import fits_broadcast, join_bounded, materialise, top_k
+from rankloom.operators.common import fits_broadcast, free_ids, global_position, join_bounded, materialise, top_k
 
 # --- fixed values -----------------------------------------------------------
 BM25_K1 = 1.5
@@ -32,6 +32,7 @@ BM25_METHODS = ("plus", "okapi")
 
 LENGTH_ROW = ""  # term of the row that carries the document length
 HOT_TERMS = 100_000  # at most this many frequent terms are broadcast
+LISTED_FILL = 1024  # rankings up to this length are filled from a list of ids
 
 
 def count_terms(df: DataFrame, keys: list[str], tokens: Column) -> DataFrame:
@@ -149,8 +150,11 @@ def fill_to_k(run: DataFrame, queries: DataFrame, docs: DataFrame, k: int, base:
     """Exactly ``k`` rows per query: unmatched documents follow, smallest ids first.
 
     The ``k`` smallest ids always suffice, because a query short of ``k`` has all
-    its matches in ``run``. Lists are at most ``k`` long; no query meets the corpus.
+    its matches in ``run``. No query meets the corpus. Rankings of up to
+    ``LISTED_FILL`` rows are filled from one short list of ids, longer ones by position.
     """
+    if k > LISTED_FILL:
+        return _fill_by_position(run, queries, docs, k, base)
     pool = (
         docs.select("doc_id").orderBy("doc_id").limit(k)
         .agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).scalar()
@@ -191,6 +195,23 @@ def fill_to_k(run: DataFrame, queries: DataFrame, docs: DataFrame, k: int, base:
     )
 
 
+def _fill_by_position(run: DataFrame, queries: DataFrame, docs: DataFrame, k: int, base: Column | None) -> DataFrame:
+    """``fill_to_k`` for any ``k``: the missing ids are found by their place among the free ones."""
+    run = materialise(run.select("qid", "rank", "doc_id", "score"))
+    n_docs = docs.count()
+    if n_docs < k and not queries.isEmpty():
+        raise ValueError("the documents can't fill a ranking of the length asked for")
+    places = global_position(docs.select("doc_id"), "doc_id", "pos").where(F.col("pos") < k)
+    wanted = queries.select("qid", (F.lit(0.0) if base is None else base).alias("_base"))
+    wanted = materialise(wanted.join(run.groupBy("qid").agg(F.count(F.lit(1)).alias("_n")), "qid", "left").withColumn("_n", F.coalesce("_n", F.lit(0))))
+    free = free_ids(places, min(k, n_docs), run, wanted.select("qid", (k - F.col("_n")).alias("need")))
+    filled = free.select("qid", "doc_id", F.lit(0.0).alias("score"), "free").unionByName(
+        run.select("qid", "doc_id", "score", (F.col("rank") - 1).cast("long").alias("free")).withColumn("_hit", F.lit(True)), allowMissingColumns=True
+    )
+    rank = F.when(F.col("_hit"), F.col("free") + 1).otherwise(F.col("_n") + F.col("free") + 1).cast("int")
+    return filled.join(wanted, "qid").select("qid", rank.alias("rank"), "doc_id", (F.col("score") + F.col("_base")).alias("score"))
+
+
 def _okapi_floor(stats: DataFrame, n_docs: Column) -> Column:
     """Epsilon times the mean idf of the whole vocabulary, negatives included."""
     raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
@@ -239,27 +260,16 @@ def bm25_search(
 def _okapi_below_zero(scored: DataFrame, queries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """Exact order when the mean idf is negative and matches can rank behind non-matches.
 
-    Non-matches score 0 in id order. Enough of the smallest ids are taken that every
-    query finds its first ``k`` non-matches (or all of them) among these; only a
-    vocabulary whose terms mostly sit in more than half of the documents gets here.
+    Non-matches score 0 in id order, so the first ``k`` free ids of a query (or all it has) are ranked
+    together with its matches. Only a vocabulary whose terms mostly sit in more than half of the
+    documents gets here.
     """
     scored = materialise(scored)
     n_docs = docs.count()
     matched = queries.select("qid").join(scored.groupBy("qid").agg(F.count(F.lit(1)).alias("m")), "qid", "left")
     need = materialise(matched.select("qid", F.least(F.lit(k), n_docs - F.coalesce("m", F.lit(0))).alias("need")))
-    size = k
-    while True:
-        pool = materialise(docs.select("doc_id").orderBy("doc_id").limit(size))
-        taken = materialise(
-            join_bounded(scored, pool, "doc_id", "left_semi").groupBy("qid").agg(F.collect_set("doc_id").alias("taken"))
-        )
-        rows = need.join(taken, "qid", "left").withColumn("n", F.coalesce(F.size("taken"), F.lit(0)))
-        if size >= n_docs or rows.where(size - F.col("n") < F.col("need")).isEmpty():
-            break
-        size = min(2 * size, n_docs)
-    ids = pool.agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).scalar()
-    free = F.when(F.col("taken").isNull(), ids).otherwise(F.array_except(ids, F.col("taken")))
-    zeros = rows.select("qid", F.explode(F.slice(free, F.lit(1), F.col("need").cast("int"))).alias("doc_id"), F.lit(0.0).alias("score"))
+    places = global_position(docs.select("doc_id"), "doc_id", "pos")
+    zeros = free_ids(places, n_docs, scored, need).select("qid", "doc_id", F.lit(0.0).alias("score"))
     candidates = top_k(scored, k).select("qid", "doc_id", "score").unionByName(zeros)
     return fill_to_k(top_k(candidates, k), queries, docs, k)
 

@@ -97,8 +97,8 @@ def test_knn_matches_numpy(spark):
     dv = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(d)], "doc_id long, embedding array<double>").repartition(4)
     qv = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(q)], "qid long, embedding array<double>")
     sims = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (d / np.linalg.norm(d, axis=1, keepdims=True)).T
-    for chunk in (1 << 26, 600):
-        got = dense.knn_search(dv, qv, 7, chunk_bytes=chunk).collect()
+    for options in ({}, {"chunk_bytes": 600}, {"blocks": (2, 5)}, {"blocks": (10, 100)}):
+        got = dense.knn_search(dv, qv, 7, **options).collect()
         assert len(got) == 63
         for r in got:
             assert r["score"] == pytest.approx(sims[r["qid"], r["doc_id"]])
@@ -191,3 +191,46 @@ def test_knn_plan_has_no_cross_join(spark):
     plan = run._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_long_rankings_are_cut_before_they_move(spark):
+    """Beyond the length Spark cuts by itself, the k-th score's level does it."""
+    rng = np.random.default_rng(3)
+    scores = np.concatenate([rng.normal(size=20_000) * 10.0 ** rng.integers(-300, 300, 20_000), [0.0, -0.0, np.inf, -np.inf]])
+    rows = [(i % 2 or None, i, float(s)) for i, s in enumerate(scores)] + [(1, -1, None)]
+    df = common.materialise(spark.createDataFrame(rows, "qid long, doc_id long, score double").repartition(5))
+    kept = common.above_kth(df, ["qid"], "score", 3000).groupBy("qid").count().collect()
+    assert len(kept) == 2 and all(3000 <= r["count"] < 3400 for r in kept)
+    got = common.top_k(df, 3000, digits=300).collect()
+    assert len(got) == 6000
+    for q in (1, None):
+        mine = sorted((r for r in rows if r[0] == q and r[2] is not None), key=lambda r: (-r[2], r[1]))[:3000]
+        assert [r.doc_id for r in sorted((r for r in got if r.qid == q), key=lambda r: r["rank"])] == [r[1] for r in mine]
+
+
+@pytest.mark.parametrize("bucket, step", [(1 << 16, 4096), (4, 2), (1, 1)])
+def test_free_ids(spark, monkeypatch, bucket, step):
+    monkeypatch.setattr(common, "FREE_BUCKET", bucket)
+    monkeypatch.setattr(common, "FREE_STEP", step)
+    ids = [10 * i for i in range(30)]
+    taken = {1: ids[:5] + ids[7:9], 2: [], 3: ids, 4: ids[28:], 5: ids[::2]}
+    need = {1: 4, 2: 30, 3: 0, 4: 28, 5: 15}
+    places = common.global_position(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4), "doc_id", "pos", 7)
+    assert [r.pos for r in places.orderBy("doc_id").collect()] == list(range(30))
+    pairs = spark.createDataFrame([(q, d) for q, t in taken.items() for d in t], "qid long, doc_id long")
+    got = common.free_ids(places, 30, pairs, spark.createDataFrame(list(need.items()), "qid long, need long")).collect()
+    for q in taken:
+        free = [d for d in ids if d not in taken[q]][: need[q]]
+        assert [r.doc_id for r in sorted((r for r in got if r.qid == q), key=lambda r: r.free)] == free
+        assert sorted(r.free for r in got if r.qid == q) == list(range(need[q]))
+
+
+@pytest.mark.parametrize("method", ["plus", "okapi"])
+def test_filling_by_position_gives_the_same_run(spark, monkeypatch, method):
+    docs, queries = frames(spark)
+    rows = lambda: sorted((r.qid, r["rank"], r.doc_id, round(r.score, 9)) for r in lexical.bm25_search(lexical.fit_lexical(docs), queries, 5, method).collect())
+    want = rows()
+    monkeypatch.setattr(lexical, "LISTED_FILL", 0)
+    assert rows() == want and len(want) == 15
+    with pytest.raises(ValueError, match="can't fill a ranking"):
+        lexical.bm25_search(lexical.fit_lexical(docs), queries, 6)
