@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rankloom.catalog import fixtures as fx
@@ -59,22 +60,27 @@ def cutoffs(spark, sf):
 
 
 def argument_checks(spark, sf):
-    """How many wrong calls on the real tables are refused."""
+    """Calls on the real tables and whether they are refused, each with the error that says why."""
     docs, q = fx.docs(spark, sf), fx.benchmark_queries(spark, sf)
     index = fit_lexical(docs)
-    wrong = [
-        lambda: bm25_search(index, q, 0),
-        lambda: bm25_search(index, q, 10, "other"),
-        lambda: bm25_search(index, q, docs.count() + 1).count(),
-        lambda: check_judged(q, fx.benchmark_qrels(spark, sf)),
-    ]
-    refused = 0
-    for call in wrong:
+    calls = {
+        "no rows": (lambda: bm25_search(index, q, 0), "can't be made"),
+        "unknown form": (lambda: bm25_search(index, q, 10, "other"), "is none of"),
+        "more rows than documents": (lambda: bm25_search(index, q, docs.count() + 1).count(), "can't fill a ranking"),
+        "unjudged queries": (lambda: check_judged(q, fx.benchmark_qrels(spark, sf)), "not judged"),
+        "a proper call": (lambda: bm25_search(index, q, 1).count(), ""),
+    }
+    rows = []
+    for name, (call, reason) in calls.items():
+        refused = False
         try:
             call()
-        except Exception:
-            refused += 1
-    return docs.agg(F.count(F.lit(1)).alias("n_docs")).select("n_docs", F.lit(refused).alias("refused"))
+        except (ValueError, PySparkException) as fault:  # data-dependent checks run inside Spark
+            if not reason or reason not in str(fault):
+                raise
+            refused = True
+        rows.append((name, refused))
+    return spark.createDataFrame(rows, "call string, refused boolean")
 
 
 QUERIES = {
@@ -125,5 +131,8 @@ SELECT * FROM a UNION ALL SELECT * FROM b""",
     "f7_bad_characters": sp.with_(sp.RAW) + """SELECT doc_id, contains(title, 'ß') AS in_title, contains(body, 'ß') AS in_text,
   contains(lang, 'ß') OR contains(source, 'ß') AS in_tags FROM d0 WHERE contains(title, 'ß') OR contains(body, 'ß') OR contains(lang || source, 'ß')""",
     "f8_valid_cutoffs": "SELECT CAST(k AS INTEGER) AS k FROM (SELECT unnest([10, 100, 1000, 10000, 100000]) AS k) WHERE k <= (SELECT count(*) FROM pages)",
-    "f9_argument_checks": "SELECT count(*) AS n_docs, CAST(4 AS INTEGER) AS refused FROM documents",
+    "f9_argument_checks": sp.with_(sp.BENCH_QRELS)
+    + """SELECT 'no rows' AS call, true AS refused UNION ALL SELECT 'unknown form', true UNION ALL SELECT 'more rows than documents', true
+UNION ALL SELECT 'unjudged queries', count(*) > 0 FROM benchmark WHERE item_id NOT IN (SELECT qid FROM bqr)
+UNION ALL SELECT 'a proper call', count(*) = 0 FROM documents""",
 }

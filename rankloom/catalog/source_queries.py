@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rankloom.catalog import fixtures as fx
 from rankloom.catalog import sqlparts as sp
 from rankloom.functions.text import with_content
-from rankloom.operators.dense import encode_texts
 from rankloom.operators.fusion import fuse_named, stack_runs
 from rankloom.operators.lexical import bm25_search, fit_lexical
 from rankloom.operators.metrics import evaluate
@@ -78,6 +78,26 @@ def json_array_source(spark, sf):
     return docs.select("doc_id", F.md5("text").alias("digest"), F.array_join("tags", ",").alias("tags"))
 
 
+def _array_lines(batches):
+    """Records as the lines of one array."""
+    first = True
+    for batch in batches:
+        values = batch.column("value").to_pylist()
+        lines = [("[" if first and not i else ",") + v for i, v in enumerate(values)]
+        first = first and not values
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
+
+
+def json_array_ranges(spark, sf):
+    """All documents in one array per task that wrote them, read in ranges much smaller than these files."""
+    path = scratch_path(spark, "ranges")
+    records = _json_records(fx.raw_docs(spark, sf), "doc_id").coalesce(2)
+    records.mapInArrow(_array_lines, "value string").write.text(path)
+    docs = corpus.read_records(spark, path, range_bytes=1 << 18)
+    return docs.select("doc_id", F.md5("text").alias("digest"), "title", F.array_join("tags", ",").alias("tags"), "category")
+
+
 def load_all(spark, sf):
     """Row counts and id totals of the four frames."""
     folder = scratch_path(spark, "all")
@@ -141,9 +161,8 @@ def embedding_store(spark, sf):
     labelled = docs.join(fx.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     vector_store.update_store(spark, labelled, path)
     found = vector_store.update_store(spark, docs, path)
-    fresh = encode_texts(docs).select("doc_id", F.col("embedding").alias("e2"))
-    same = F.aggregate(F.zip_with("embedding", "e2", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda x, y: x + y) < 1e-9
-    return found.join(fresh, "doc_id").select("doc_id", same.alias("same"))
+    entries = found.select("doc_id", F.posexplode("embedding").alias("i", "v"))
+    return entries.groupBy("doc_id").agg(F.round(F.sum(F.col("v") * (F.col("i") + 1)), 6).alias("checksum"), F.count(F.lit(1)).alias("dim"))
 
 
 def _lists(spark, sf, k=20):
@@ -190,6 +209,7 @@ def run_metadata(spark, sf):
 QUERIES = {
     "s1_json_source": json_source,
     "s1_json_array_source": json_array_source,
+    "s1_json_array_ranges": json_array_ranges,
     "s2_load_all": load_all,
     "s3_judgments": judgments,
     "s4_judgment_entries": judgment_entries,
@@ -224,7 +244,8 @@ UNION ALL SELECT 'judgments', count(*), CAST(sum(qid) AS BIGINT) FROM tq""",
     "s7_prepared_sink": sp.with_(sp.DOCS) + "SELECT doc_id, md5(content) AS digest FROM docs",
     "s8_embedding_misses": sp.with_(sp.DOCS)
     + "SELECT doc_id, sha256('dim=64|model=hash:' || content) AS key FROM docs WHERE content NOT IN (SELECT content FROM docs JOIN labels USING (doc_id))",
-    "s8_embedding_store": "SELECT doc_id, true AS same FROM documents",
+    "s8_embedding_store": sp.with_(sp.DOCS, sp.hashed("h", "docs", "doc_id"))
+    + "SELECT doc_id, round(coalesce(sum(v * (i + 1)), 0), 6) AS checksum, CAST(64 AS BIGINT) AS dim FROM docs LEFT JOIN h USING (doc_id) GROUP BY doc_id",
     "s9_submission_sink": _RUN20
     + """SELECT CAST(qid AS VARCHAR) AS query_id, '["' || string_agg(CAST(doc_id AS VARCHAR), '","' ORDER BY rank) || '"]' AS relevant_doc_ids, '?' AS category FROM r GROUP BY qid""",
     "s10_table_csv": _RUN20 + sp.metrics("r", "bqr", "bq", (1, 5, 10, 20)),
@@ -232,6 +253,7 @@ UNION ALL SELECT 'judgments', count(*), CAST(sum(qid) AS BIGINT) FROM tq""",
     + f"""SELECT '20240506_070809' AS run, '{{"top_k": 20}}' AS config, m.*, 'none' AS submission_path FROM ({sp.metrics("r", "bqr", "bq", (20,))}) m""",
     "s11_method_export": "SELECT unnest(['bm25:plus', 'bm25:okapi', 'fused']) AS model_label, count(*) AS n_rows, CAST(20 AS INTEGER) AS top_k FROM benchmark",
 }
+ORACLE["s1_json_array_ranges"] = ORACLE["s1_json_source"]
 _S6 = f"""concat_ws(' ', nullif({sp.safe('title')}, ''), nullif({sp.safe('body')}, ''),
   CASE WHEN lang = 'en' THEN lang || ' ' || source ELSE lang END)"""
 ORACLE["s6_search_inputs"] = sp.with_(sp.RAW) + f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5({_CLEAN(_S6)}) AS digest FROM d0"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from rankloom.functions.text import truncate_text, with_content
 from rankloom.operators.sampling import head
+from rankloom.sources.json_array import read_json_array
 
 # --- fixed values -----------------------------------------------------------
 DOCS_FILE = "docs.json"
@@ -44,8 +45,15 @@ def parse_records(df: DataFrame, id_name: str = "doc_id") -> DataFrame:
     return df.select(F.col("id").alias(id_name), "title", "text", _tag_array(F.col("tags")).alias("tags"), "category", "content")
 
 
-def read_records(spark: SparkSession, path: str, id_name: str = "doc_id", multi_line: bool = True) -> DataFrame:
-    """JSON array files (or JSON lines with ``multi_line=False``, which split across tasks)."""
+def read_records(
+    spark: SparkSession, path: str, id_name: str = "doc_id", multi_line: bool = True, range_bytes: int | None = None
+) -> DataFrame:
+    """JSON array files (or JSON lines with ``multi_line=False``, which split across tasks).
+
+    With ``range_bytes`` an array file is read by as many tasks as it has ranges of that size.
+    """
+    if range_bytes is not None:
+        return parse_records(read_json_array(spark, path, RECORD_SCHEMA, range_bytes), id_name)
     return parse_records(spark.read.schema(RECORD_SCHEMA).json(path, multiLine=multi_line), id_name)
 
 

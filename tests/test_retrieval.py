@@ -139,7 +139,7 @@ def test_store_keeps_models_apart(spark, tmp_path):
     path = str(tmp_path / "vectors")
     one = {r.doc_id: r.embedding for r in vector_store.update_store(spark, docs, path, model="one", dim=4).collect()}
     vector_store.update_store(spark, docs, path, model="two", dim=4).collect()
-    assert spark.read.parquet(path).select("key").distinct().count() == 4 and len(one) == 2
+    assert vector_store.read_store(spark, path).select("key").distinct().count() == 4 and len(one) == 2
     with pytest.raises(ValueError):
         vector_store.update_store(spark, docs, path, make_predict_fn=lambda: None)
 
