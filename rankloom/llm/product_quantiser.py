@@ -1,20 +1,27 @@
 """Embedding near-duplicates by product quantisation with an inverted file.
 
-Equal vectors form a class with a multiplicity; classes are indexed. Coarse centroids cut the space
-into inverted lists; the residual to the centroid is coded by one byte per subspace. A query probes
-every list whose cell it nearly touches: the distance to the bisecting plane between the nearest
-centroid and the list's is at most ``margin``. In a probed list the asymmetric distance (table look-ups
+Equal vectors form a class with a multiplicity; classes are indexed, those of each width apart. Coarse
+centroids cut the space into inverted lists; the residual to the centroid is coded by one byte per
+subspace. A query probes every list whose cell it nearly touches: the distance to the bisecting plane between the
+nearest centroid and the list's is at most a margin. In a probed list the asymmetric distance (table look-ups
 of the query's products with the codewords) and the stored length of what the code leaves out bound
 the cosine from above; pairs that may reach the threshold are compared exactly, in double precision.
 
-Centroids and codewords are fitted on at most ``sample`` classes in hash order; every class is indexed
-and is a query. A pair is found if either vector probes the other's list, and counts once for both
-ends. Lists are searched in blocks of members by blocks of queries, so a list with a third of all
+Two linked unit vectors are at most ``sqrt(2 - 2 * threshold)`` apart. The nearer of them to a plane between them is
+at most half of that away (``reach=None`` probes so far and loses no link); along the normal of one given
+plane a difference in any direction has ``1 / sqrt(width)`` of its length as its standard deviation, and the default
+margin is ``reach`` = 3 of these. Recall against brute force is measured in the README.
+
+There are ``2 sqrt(n)`` lists for n classes. Centroids and codewords are fitted on at most ``sample`` classes, or eight
+for each list if that is more, in hash order; centroids in two levels, so that the fit stays cheap. Every
+class is indexed and is a query. A pair is found if either vector probes the other's list, and counts once
+for both ends. Lists are searched in blocks of members by blocks of queries, so a list with a third of all
 vectors is spread over many tasks; blocks return sums and the edges of a spanning forest, not pairs.
 
-Vectors that are null, zero, of another width than most, or hold null or non-finite components link with
-nothing and stand for themselves. Repeated ids keep their rows; null ids never name a component unless
-all are null. An empty table gives an empty table. Labels and extra columns are not read.
+Vectors that are null, empty, zero, or hold null or non-finite components link with nothing and stand for
+themselves; vectors of different widths never link. Lengths from the least to the largest doubles are told apart
+(vectors are scaled by their largest component first). Repeated ids keep their rows; null ids never name a
+component unless all are null. An empty table gives an empty table. Labels and extra columns are not read.
 """
 
 from __future__ import annotations
@@ -31,43 +38,35 @@ from rankloom.llm.kernels import give_back, mix
 from rankloom.llm.tables import bounded_batches, components, join_by, stored
 
 SAMPLE = 20_000
+REACH = 3.0
 SUBSPACES = 8
 CODEWORDS = 256
 BLOCK = 1024
 
 
-def _rows(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each row is a usable vector of ``width`` components, and the usable ones as float64."""
-    sizes = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
-    fits = np.flatnonzero(sizes == width)
-    values = column.take(pa.array(fits)).flatten().cast(pa.float64())
-    x = values.to_numpy(zero_copy_only=False).reshape(-1, width) if len(fits) else np.zeros((0, width))
-    good = np.isfinite(x).all(axis=1)
-    norms = np.linalg.norm(np.where(np.isfinite(x), x, 0), axis=1)
-    good &= (norms > 0) & np.isfinite(norms)
-    usable = np.zeros(len(column), dtype=bool)
-    usable[fits[good]] = True
-    return usable, x[good]
-
-
-def _read(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            usable, x = _rows(batch.column("embedding"), width)
-            x = x + 0.0  # one form of zero
-            at = np.cumsum(usable) - 1
-            raw = [x[i].tobytes() if u else None for u, i in zip(usable, at)]
-            bits = x.view(np.uint64)
-            key = np.zeros(len(x), dtype=np.uint64)
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``vec_id, width, class, vector``: the last three null where a vector is unusable."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        column = batch.column("embedding")
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        usable, keys, raw = np.zeros(n, dtype=bool), np.zeros(n, dtype=np.uint64), [None] * n
+        for width in np.unique(sizes[sizes > 0]):
+            at = np.flatnonzero(sizes == width)
+            x = column.take(pa.array(at)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, width) + 0.0  # one form of zero
+            good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+            at, x = at[good], np.ascontiguousarray(x[good])
+            bits, key = x.view(np.uint64), np.full(len(x), width, dtype=np.uint64)
             for i in range(width):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bits[:, i] + np.uint64(1))
-            keys = pa.array([int(k) for k in key.view(np.int64)], pa.int64()).take(pa.array(at, mask=~usable)) if len(x) else pa.nulls(batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), keys, pa.array(raw, pa.binary())], ["vec_id", "class", "vector"])
-        give_back()
-
-    return run
+            usable[at], keys[at] = True, key
+            for i, row in zip(at, x):
+                raw[i] = row.tobytes()
+        columns = [batch.column("vec_id"), pa.array(sizes, pa.int32(), mask=~usable), pa.array(keys.view(np.int64), mask=~usable), pa.array(raw, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["vec_id", "width", "class", "vector"])
+    give_back()
 
 
 def _k_means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -113,21 +112,32 @@ class Quantiser:
     def probes(self, x: np.ndarray, lists: np.ndarray, margin: float) -> list[np.ndarray]:
         """Lists whose cell comes within ``margin`` of each vector, its own among them."""
         half = (self.centroids**2).sum(axis=1) / 2
-        apart = np.linalg.norm(self.centroids[:, None] - self.centroids[None], axis=2) if len(self.centroids) <= 1024 else None
         out = []
-        for i in range(0, len(x), 512):
-            near = x[i : i + 512] @ self.centroids.T - half
-            own = lists[i : i + 512]
+        step = max(1, (1 << 21) // len(self.centroids))
+        for i in range(0, len(x), step):
+            near = x[i : i + step] @ self.centroids.T - half
+            own = lists[i : i + step]
             gap = near[np.arange(len(own)), own][:, None] - near
-            between = apart[own] if apart is not None else np.linalg.norm(self.centroids[own][:, None] - self.centroids[None], axis=2)
-            out += [np.flatnonzero(row) for row in gap <= margin * between + 1e-12]
+            between = 2 * (half[own][:, None] + half[None, :] - self.centroids[own] @ self.centroids.T)
+            out += [np.flatnonzero(row) for row in gap <= margin * np.sqrt(np.maximum(between, 0)) + 1e-12]
         return out
 
 
+def _centroids(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """About ``k`` centroids: a coarse split, each part cut into its share."""
+    parts = int(k**0.5)
+    if k < 256:
+        return _k_means(x, k, rng)
+    top = _k_means(x, parts, rng)
+    own = _nearest(x, top)
+    found = [_k_means(x[own == i], max(1, round(k * (own == i).mean())), rng) for i in range(len(top)) if (own == i).any()]
+    return np.concatenate(found)
+
+
 def fit(x: np.ndarray, lists: int, *, subspaces: int = SUBSPACES, seed: int = 7) -> Quantiser:
     """Fit on unit vectors ``x`` (the bounded sample)."""
     rng = np.random.default_rng(seed)
-    centroids = _k_means(x, lists, rng)
+    centroids = _centroids(x, lists, rng)
     rest = x - centroids[_nearest(x, centroids)]
     width = x.shape[1]
     bounds = np.linspace(0, width, min(subspaces, width) + 1).astype(int)
@@ -139,6 +149,7 @@ def fit(x: np.ndarray, lists: int, *, subspaces: int = SUBSPACES, seed: int = 7)
 
 def _units(raw: list[bytes], width: int) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), np.float64).reshape(-1, width)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -181,17 +192,15 @@ def _search(quantiser: Quantiser, width: int, threshold: float):
             return pa.table(empty)
         cls, times, lists = (table.column(k).to_numpy() for k in ("class", "times", "list"))
         x = _units(table.column("vector").to_pylist(), width)
-        probes = table.column("probes").to_pylist()
         home = int(lists[member[0]])
         codes = np.frombuffer(b"".join(table.column("code").take(pa.array(member)).to_pylist()), np.uint8).reshape(len(member), -1)
         left = table.column("left").to_numpy()[member]
         # asymmetric look-ups: the query's product with each codeword, then a sum over the member's code
-        reach = np.repeat((x[query] @ quantiser.centroids[home])[:, None], len(member), axis=1)
+        reach = np.add.outer((x[query] @ quantiser.centroids[home]).astype(np.float32), left.astype(np.float32))
         for s, words in enumerate(quantiser.codewords):
             lo, hi = quantiser.bounds[s], quantiser.bounds[s + 1]
-            reach += (x[query, lo:hi] @ words[:, : hi - lo].T)[:, codes[:, s]]
-        reach += left[None, :]
-        i, j = np.nonzero(reach >= threshold - 1e-9)
+            reach += np.take((x[query, lo:hi] @ words[:, : hi - lo].T).astype(np.float32), codes[:, s], axis=1)
+        i, j = np.nonzero(reach >= threshold - 1e-4)  # more than single precision can be off
         keep = []
         for lo in range(0, len(i), 1 << 17):
             a, b = query[i[lo : lo + (1 << 17)]], member[j[lo : lo + (1 << 17)]]
@@ -205,8 +214,14 @@ def _search(quantiser: Quantiser, width: int, threshold: float):
         links = np.zeros(len(cls), dtype=np.int64)
         np.add.at(links, a, times[b])
         # a member that doesn't probe the query's list won't find the query itself
-        one_way = {(int(m), int(q)): q not in probes[m] for m, q in set(zip(b.tolist(), lists[a].tolist()))}
-        back = np.array([one_way[m, q] for m, q in zip(b.tolist(), lists[a].tolist())], dtype=bool)
+        probes = table.column("probes").combine_chunks().take(pa.array(member))
+        counts = pc.list_value_length(probes).to_numpy(zero_copy_only=False)
+        row = np.full(len(cls), -1)
+        row[member] = np.arange(len(member))
+        n_lists = len(quantiser.centroids)
+        probed = np.sort(np.repeat(np.arange(len(member)), counts) * n_lists + probes.flatten().to_numpy(zero_copy_only=False))
+        wanted = row[b] * n_lists + lists[a]
+        back = probed[np.minimum(np.searchsorted(probed, wanted), len(probed) - 1)] != wanted
         np.add.at(links, b[back], times[a[back]])
         nodes, at = np.unique(np.concatenate([cls[a], cls[b]]), return_inverse=True)
         root = nodes[_forest(len(nodes), at[: len(a)], at[len(a) :])]
@@ -218,45 +233,58 @@ def _search(quantiser: Quantiser, width: int, threshold: float):
     return run
 
 
-def _margin(threshold: float) -> float:
-    """How far the nearer of two linked unit vectors can lie from any plane between them: half their distance."""
-    return max((1 - threshold) / 2, 0.0) ** 0.5 + 1e-9
+def _margin(threshold: float, width: int, reach: float | None = None) -> float:
+    """How far from a plane the nearer of two linked vectors is looked for: half their largest distance, or ``reach``
+    standard deviations of its part along the plane's normal where that is less."""
+    whole = max((1 - threshold) / 2, 0.0) ** 0.5
+    return min(whole, whole * reach / width**0.5 if reach is not None else whole) + 1e-9
 
 
-def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
+_FOUND = "class long, links long, root long"
+
+
+def _links(classes: DataFrame, width: int, threshold: float, reach: float | None, sample: int, block: int) -> DataFrame:
+    """``_FOUND`` rows of all pairs among the classes of one width."""
+    n = classes.count()
+    lists = max(1, int(2 * n**0.5))
+    size = max(sample, 8 * lists)
+    picked = classes.orderBy(F.xxhash64("class"), "class").select("vector").limit(size).collect()  # the bounded sample
+    quantiser = fit(_units([r["vector"] for r in picked], width), lists)
+    index = stored(
+        classes.select("class", "times", "vector").repartition("class").mapInArrow(
+            _index(quantiser, width, _margin(threshold, width, reach)), "class long, times long, vector binary, list int, code binary, left double, probes array<int>"
+        ),
+        "pq_index",
+    )
+    # blocks of each list: of members, and of the queries that probe it (one row per list)
+    members = index.groupBy(F.col("list").alias("at")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("m"))
+    queries = index.select(F.explode("probes").alias("at")).groupBy("at").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("q"))
+    grid = F.broadcast(members.join(queries, "at"))  # 2 sqrt(n) rows
+    spot = F.xxhash64("class", F.lit(1))
+    held = (
+        index.withColumn("at", F.col("list")).join(grid, "at").withColumn("mb", F.pmod(spot, F.col("m").cast("long")).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).withColumn("role", F.lit(0))
+    )
+    asking = (
+        index.withColumn("at", F.explode("probes")).join(grid, "at").withColumn("qb", F.pmod(spot, F.col("q").cast("long")).cast("int")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("role", F.lit(1))
+    )
+    # only members need their probes, only members their code
+    asking = asking.withColumn("probes", F.lit(None).cast("array<int>")).withColumn("code", F.lit(None).cast("binary"))
+    columns = ["at", "mb", "qb", "role", "class", "times", "vector", "list", "code", "left", "probes"]
+    return held.select(*columns).unionByName(asking.select(*columns)).groupBy("at", "mb", "qb").applyInArrow(_search(quantiser, width, threshold), _FOUND)
+
+
+def near_duplicates(vectors: DataFrame, *, threshold: float = 0.9, reach: float | None = REACH, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding)."""
     rows = bounded_batches(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    common = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("w")).count().orderBy(F.col("count").desc(), "w").first()
-    width = common["w"] if common else 1
-    read = stored(rows.mapInArrow(_read(width), "vec_id long, class long, vector binary"), "pq_rows")
-    classes = read.where("class IS NOT NULL").groupBy("class").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("times"), F.first("vector").alias("vector"))
+    read = stored(rows.mapInArrow(_read, "vec_id long, width int, class long, vector binary"), "pq_rows")
+    classes = read.where("class IS NOT NULL").groupBy("class").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("times"), F.first("vector").alias("vector"), F.first("width").alias("width"))
     classes = stored(classes, "pq_classes")
-    n = classes.count()
-    picked = classes.orderBy(F.xxhash64("class"), "class").select("vector").limit(sample).collect()  # at most `sample` vectors
-    if picked:
-        quantiser = fit(_units([r["vector"] for r in picked], width), max(1, min(1024, int(n**0.5))))
-        index = stored(
-            classes.select("class", "times", "vector").repartition("class").mapInArrow(
-                _index(quantiser, width, _margin(threshold)), "class long, times long, vector binary, list int, code binary, left double, probes array<int>"
-            ),
-            "pq_index",
-        )
-        # blocks of each list: of members, and of the queries that probe it (one row per list)
-        members = index.groupBy(F.col("list").alias("at")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("m"))
-        queries = index.select(F.explode("probes").alias("at")).groupBy("at").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("q"))
-        grid = F.broadcast(members.join(queries, "at"))  # at most 1024 lists
-        spot = F.xxhash64("class", F.lit(1))
-        held = (
-            index.withColumn("at", F.col("list")).join(grid, "at").withColumn("mb", F.pmod(spot, F.col("m").cast("long")).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).withColumn("role", F.lit(0))
-        )
-        asking = (
-            index.withColumn("at", F.explode("probes")).join(grid, "at").withColumn("qb", F.pmod(spot, F.col("q").cast("long")).cast("int")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("role", F.lit(1))
-        )
-        columns = ["at", "mb", "qb", "role", "class", "times", "vector", "list", "code", "left", "probes"]
-        found = held.select(*columns).unionByName(asking.select(*columns)).groupBy("at", "mb", "qb").applyInArrow(_search(quantiser, width, threshold), "class long, links long, root long")
-        found = stored(found, "pq_links")
-    else:
-        found = classes.select("class", F.lit(0).cast("long").alias("links"), F.col("class").alias("root"))
+    # one row per width; a width with one class has no pair to look for
+    widths = [r["width"] for r in classes.groupBy("width").count().where("count > 1").orderBy("width").collect()]
+    found = classes.where("false").select("class", F.lit(0).cast("long").alias("links"), F.col("class").alias("root"))
+    for width in widths:
+        found = found.unionByName(_links(classes.where(F.col("width") == width), width, threshold, reach, sample, block))
+    found = stored(found, "pq_links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     labels = components(found.where("class <> root").select(F.col("class").alias("src"), F.col("root").alias("dst")))
     named = join_by(classes.select("class", "first", "times"), labels.select(F.col("node").alias("class"), "component"), ["class"], "left")
