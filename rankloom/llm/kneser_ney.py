@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rankloom.llm.context_tree import PAGE_BYTES, SHARD_BYTES, _by_shard, _BYTES, _keys, _sum_shard
+from rankloom.llm.byte_strings import PAGE_BYTES, SHARD_BYTES, _by_shard, _BYTES, _keys, _sum_shard
 from rankloom.llm.kernels import give_back, text_buffer, text_slices
 from rankloom.llm.tables import bounded_batches, join_by, stored
 
