@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankloom.functions.text import with_content
-from rankloom.operators.common import read_parallel
+from rankloom.operators.common import attach_docs, join_bounded, read_parallel
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +57,9 @@ def benchmark_qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = d.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word"))
-    candidates = words.join(anchors, "word").select("qid", "doc_id", "content")
-    return candidates.join(d, "doc_id").where(F.contains("text", "content")).select("qid", "doc_id")
+    # a common word may be an anchor, and one document may quote many passages
+    candidates = join_bounded(words, anchors, "word", salt_by="doc_id").select("qid", "doc_id", "content")
+    return attach_docs(candidates, d, ["text"]).where(F.contains("text", "content")).select("qid", "doc_id")
 
 
 def title_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

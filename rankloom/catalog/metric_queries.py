@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from rankloom.catalog import fixtures as fx
 from rankloom.catalog import sqlparts as sp
 from rankloom.catalog.fusion_queries import two_runs
-from rankloom.catalog.rerank_queries import NB_PARTS, query_predictions
+from rankloom.catalog.rerank_queries import NB_PARTS, QUERY_ACCURACY, query_predictions
 from rankloom.operators import metrics as me
-from rankloom.operators.common import materialise
+from rankloom.operators.common import join_bounded, materialise
 from rankloom.operators.lexical import bm25_search, fit_lexical
 from rankloom.operators.profile import pivot_metric
 from rankloom.plans import studies
@@ -67,7 +67,7 @@ def effect_of_k(spark, sf):
 
 def per_category(spark, sf):
     runs, _, q, qrels = _title_methods(spark, sf, 50, ("bm25_plus", "embeddings"))
-    labelled = runs.join(F.broadcast(q.select("qid", "category")), "qid")
+    labelled = join_bounded(runs, q.select("qid", "category"), "qid", salt_by="doc_id")
     table = me.evaluate(labelled, qrels, q, [50], ["method", "category"])
     return table.drop("k")
 
@@ -210,7 +210,7 @@ _CATEGORY = [
     "al AS (SELECT m.*, tq.category FROM (SELECT 'bm25_plus' AS method, qid, doc_id, rank FROM b UNION ALL SELECT 'embeddings', qid, doc_id, rank FROM e) m JOIN tq USING (qid))",
 ]
 _CATEGORY_TABLE = sp.metrics("al", "tqr", "tq", (50,), "method, category", "q.category = g.category")
-_ACC = "(SELECT round(avg(CASE WHEN category = prediction THEN 1.0 ELSE 0.0 END), 6) FROM tq JOIN pred USING (qid))"
+_ACC = QUERY_ACCURACY
 _NB50 = [*NB_PARTS, sp.bm25("b", "tq", "50")]
 _GUESS = f"""{sp.RAW},
 y AS (SELECT source AS label, first_value(source) OVER (PARTITION BY title ORDER BY doc_id) AS prediction FROM d0)"""

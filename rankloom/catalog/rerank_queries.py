@@ -108,6 +108,7 @@ NB_PARTS = [
     "pred AS (SELECT CAST(row_id AS BIGINT) AS qid, prediction FROM nb_y)",
     "prob AS (SELECT CAST(row_id AS BIGINT) AS qid, category, p FROM nb_p)",
 ]
+QUERY_ACCURACY = "(SELECT round(avg(CASE WHEN category = prediction THEN 1.0 ELSE 0.0 END), 6) FROM tq JOIN pred USING (qid))"
 _RUN = [*NB_PARTS, sp.bm25("b", "tq", "50"), "c AS (SELECT b.*, docs.category FROM b JOIN docs USING (doc_id))"]
 _RANKED = "SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY {order}) AS INTEGER) AS rank, doc_id, round({score}, 6) AS score FROM ({src})"
 _FILTER = "SELECT c.*, c.category = prediction AS m FROM c JOIN pred USING (qid)"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -21,6 +21,7 @@ from rankloom.operators.common import global_position, hash_rank, join_bounded,
 from rankloom.operators.dense import encode_texts
 from rankloom.operators.lexical import LENGTH_ROW, count_terms, smoothed_idf
 from rankloom.operators.linear import fit_svm, pack
+from rankloom.operators.perceptron import fit_perceptron
 
 # --- fixed values -----------------------------------------------------------
 RANDOM_SEED = 42
@@ -30,7 +31,6 @@ TEST_SIZE = 0.15
 METHODS = ("nb", "svc", "logreg", "mlp")
 FEATURES = ("tfidf", "count", "embeddings")
 NB_ALPHA = 1.0
-HIDDEN_UNITS = 100
 # ----------------------------------------------------------------------------
 
 MIN_ROWS_PER_TASK = 5_000
@@ -231,8 +231,8 @@ def fit_naive_bayes(features: DataFrame, labels: DataFrame, vocabulary: DataFram
 class Classifier:
     """Fit and predict with one of the four classifier families on ML vectors.
 
-    ``svc`` is ``linear.LinearSvm`` (``params``: ``c``, ``tol``, ``max_newton``) and has no probabilities; for the
-    others ``params`` go to the Spark estimator.
+    ``svc`` is ``linear.LinearSvm`` (``params``: ``c``, ``tol``, ``max_newton``) and has no probabilities, ``mlp`` is
+    ``perceptron.Perceptron``; for the others ``params`` go to the Spark estimator.
     """
 
     def __init__(self, method: str = "logreg", **params) -> None:
@@ -249,7 +249,7 @@ class Classifier:
             raise RuntimeError("the classifier has not been fitted yet")
         return self._classes
 
-    def _estimator(self, n_rows: int, n_classes: int, width: int):
+    def _estimator(self, n_rows: int):
         common = {"featuresCol": "features", "labelCol": "_y"}
         inverse_c = 1.0 / max(n_rows, 1)
         if self.method == "nb":
@@ -258,8 +258,7 @@ class Classifier:
             # one weight vector for two classes, one per class beyond; the penalty is per class either way
             settings = {"regParam": inverse_c, "maxIter": 100, "standardization": False, **self.params}
             return LogisticRegression(**common, family="auto", elasticNetParam=0.0, **settings)
-        layers = [width, HIDDEN_UNITS, n_classes]
-        return MultilayerPerceptronClassifier(**common, layers=layers, **{"seed": RANDOM_SEED, "maxIter": 200, **self.params})
+        raise ValueError(f"{self.method!r} is fitted without an estimator")
 
     def fit(self, df: DataFrame, label: str = "label") -> "Classifier":
         train = df.select(F.col(label).alias("_label"), "features")
@@ -267,13 +266,15 @@ class Classifier:
         classes = list(indexer.labels)
         info = train.agg(F.count(F.lit(1)).alias("n")).first()
         width = train.first()["features"].size
-        if self.method == "svc":
-            if len(classes) < 2:
-                raise ValueError("a classifier needs two classes")
-            self._model = fit_svm(pack(indexer.transform(train)), classes, width, **self.params)
+        if len(classes) < 2:
+            raise ValueError("a classifier needs two classes")
+        if self.method in ("svc", "mlp"):
+            rows = indexer.transform(train)
+            fitted = fit_svm(pack(rows), classes, width, **self.params) if self.method == "svc" else None
+            self._model = fitted or fit_perceptron(rows, classes, width, **{"seed": RANDOM_SEED, **self.params})
             self._classes = classes
             return self
-        estimator = self._estimator(info["n"], len(classes), width)
+        estimator = self._estimator(info["n"])
         # an iteration over few rows is all task overhead: small inputs use few tasks
         few = max(1, -(-info["n"] // MIN_ROWS_PER_TASK))
         self._model = estimator.fit(indexer.transform(train).coalesce(few))
@@ -285,6 +286,8 @@ class Classifier:
         names = F.array(*[F.lit(c) for c in self.classes])
         if self.method == "svc":
             return self._model.predict(df).withColumn("proba", F.lit(None).cast("map<string,double>"))
+        if self.method == "mlp":
+            return self._model.predict(df)
         scored = self._model.transform(df)
         label = F.get(names, F.col("prediction").cast("int"))
         proba = F.map_from_arrays(names, vector_to_array("probability"))

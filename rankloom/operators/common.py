@@ -250,7 +250,34 @@ def free_ids(positions: DataFrame, n: int, taken: DataFrame, need: DataFrame) ->
     return join_bounded(found, positions, "pos", salt_by="qid").select("qid", "doc_id", "free")
 
 
+HEAVY_KEYS = 10_000
+
+
+def join_heavy(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Inner join of stored ``rows`` with a ``table`` that is unique in ``key``, whose keys may be hot in ``rows``.
+
+    Keys are counted first. One that holds more than ``1 / HEAVY_KEYS`` of the rows is heavy; there are at most
+    ``HEAVY_KEYS``, so their table rows are broadcast and their many rows stay where they are. Only the
+    others are shuffled, and no key there is hot.
+    """
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.agg(F.count(F.lit(1)).alias("_t")).scalar()
+    heavy = materialise(counted.where(F.col("_n") * HEAVY_KEYS > total).select(key))
+    few = materialise(table.join(F.broadcast(heavy), key, "left_semi"))
+    if heavy.isEmpty() or not fits_broadcast(few):
+        return rows.join(table, key)  # adaptive execution splits what is skewed
+    light = rows.join(F.broadcast(heavy), key, "left_anti").join(table, key)
+    return rows.join(F.broadcast(few), key).unionByName(light)
+
+
 def attach_docs(run: DataFrame, docs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Run rows with document columns; the run is the small side, the corpus stays in place."""
+    """Run rows with document columns.
+
+    A run that can be broadcast is the small side and the corpus stays in place; a larger one is joined by
+    ``join_heavy``, as one document may be in every list.
+    """
     run = materialise(run)
-    return join_bounded(docs.select("doc_id", *columns), run, "doc_id")
+    chosen = docs.select("doc_id", *columns)
+    if fits_broadcast(run):
+        return chosen.join(F.broadcast(run), "doc_id")
+    return join_heavy(run, chosen, "doc_id").select(*chosen.columns, *[c for c in run.columns if c != "doc_id"])

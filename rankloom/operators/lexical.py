@@ -98,7 +98,7 @@ class LexicalIndex:
         length_term = spark.range(1).select(F.lit(LENGTH_ROW).alias("term"))
         wanted = terms.select("term").distinct().unionByName(length_term)
         postings = self.all_postings()
-        if self.stored is not None:
+        if self.buckets:
             # at most ``buckets`` numbers come back; the others' folders are never opened
             used = [r[0] for r in wanted.select(_bucket(self.buckets)).distinct().collect()]
             postings = self.stored.where(F.col("bucket").isin(used)).select("doc_id", "dl", "term", "tf")
@@ -106,6 +106,13 @@ class LexicalIndex:
         return materialise(kept.select("doc_id", "dl", "term", "tf"))
 
 
+def tokenised_once(index: LexicalIndex) -> LexicalIndex:
+    """The same index with its postings stored, for searches that also need statistics of all terms."""
+    if index.stored is not None:
+        return index
+    return LexicalIndex(index.docs, index.tokenizer_name, index.text_col, materialise(index.all_postings()))
+
+
 def fit_lexical(docs: DataFrame, text_col: str = "content", tokenizer_name: str = "tech") -> LexicalIndex:
     """Index over ``docs(doc_id, text_col)``; lazy, nothing is read yet."""
     tokenizer(tokenizer_name)
@@ -226,6 +233,8 @@ def bm25_search(
         raise ValueError(f"a ranking of {k} rows can't be made")
     if method not in BM25_METHODS:
         raise ValueError(f"BM25 form {method!r} is none of {BM25_METHODS}")
+    if method == "okapi":
+        index = tokenised_once(index)
     terms = query_terms(queries, index.tokenize, text_col)
     small = fits_broadcast(terms)
     matches = index.matches(terms, small)
@@ -342,7 +351,8 @@ def tfidf_search(model: TfidfModel, queries: DataFrame, k: int, text_col: str =
     """Cosine top ``k`` with corpus idf on both sides; unknown query words drop out."""
     if k <= 0:
         raise ValueError(f"a ranking of {k} rows can't be made")
-    index = model.index
+    index = tokenised_once(model.index)
+    model = TfidfModel(index, model.sublinear_tf)
     terms = query_terms(queries, index.tokenize, text_col)
     small = fits_broadcast(terms)
     matches = index.matches(terms, small)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from rankloom.operators import classify, linear
+from rankloom.operators import classify, linear, perceptron
 
 
 def problem(n=240, width=12, classes=3, seed=1):
@@ -131,3 +131,71 @@ def test_vocabulary_keeps_all_terms_by_default(spark):
     lengths = model.transform(df).groupBy("row_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).collect()
     assert len(lengths) == 30 and all(r.s == pytest.approx(1.0) for r in lengths)
     assert model.transform(df, keep=["label"]).columns == ["row_id", "label", "idx", "weight"]
+
+
+def dense_batches(blocks, width):
+    """The stored mini-batches by task, as dense matrices."""
+    out = {}
+    for r in blocks.collect():
+        ptr, idx, val, y = (np.frombuffer(r[c], t) for c, t in (("ptr", np.int64), ("idx", np.int32), ("val", float), ("y", np.int64)))
+        x = np.zeros((len(y), width))
+        x[np.repeat(np.arange(len(y)), np.diff(ptr)), idx] = val
+        out.setdefault(r["part"], []).append((x, y))
+    return out
+
+
+def adam_by_hand(parts, w, epochs, seed, alpha=1e-4):
+    """Every task from the mean of all, one epoch at a time; dense products and the textbook update."""
+    m, v, t, losses = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w], 0.0, []
+    w = [a.copy() for a in w]
+    for epoch in range(epochs):
+        ends, total, n_all = [], 0.0, 0
+        for part, batches in parts.items():
+            W, M, V, T = [a.copy() for a in w], [a.copy() for a in m], [a.copy() for a in v], t
+            for i in perceptron.epoch_order(seed, epoch, part, len(batches)):
+                x, y = batches[i]
+                n = len(y)
+                h = np.maximum(x @ W[0] + W[1], 0)
+                z = h @ W[2] + W[3]
+                p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+                total += n * (-np.log(p[np.arange(n), y]).mean() + alpha / 2 * ((W[0] ** 2).sum() + (W[2] ** 2).sum()) / n)
+                d = p - np.eye(p.shape[1])[y]
+                b = (d @ W[2].T) * (h > 0)
+                g = [(x.T @ b + alpha * W[0]) / n, b.mean(axis=0), (h.T @ d + alpha * W[2]) / n, d.mean(axis=0)]
+                T += 1
+                for k in range(4):
+                    M[k] = 0.9 * M[k] + 0.1 * g[k]
+                    V[k] = 0.999 * V[k] + 0.001 * g[k] ** 2
+                    W[k] = W[k] - 1e-3 * np.sqrt(1 - 0.999**T) / (1 - 0.9**T) * M[k] / (np.sqrt(V[k]) + 1e-8)
+            rows = sum(len(y) for _, y in batches)
+            ends.append((rows, W, M, V, T))
+            n_all += rows
+        mean = lambda j: [sum(e[0] * e[j][k] for e in ends) / n_all for k in range(4)]
+        w, m, v, t = mean(1), mean(2), mean(3), sum(e[0] * e[4] for e in ends) / n_all
+        losses.append(total / n_all)
+    return w, losses
+
+
+@pytest.mark.parametrize("tasks, rounds", [(1, 4), (1, 1), (3, 1)])
+def test_perceptron_equals_adam_by_hand(spark, tasks, rounds):
+    x, y = problem(n=250)
+    df = frame(spark, x, y, dense=True).select(F.expr("ascii(label) - 97").alias("_y"), "features")
+    options = {"hidden": 7, "batch": 40, "seed": 5, "tasks": tasks}
+    model = perceptron.fit_perceptron(df, list("abc"), 12, max_epochs=12, epochs_per_round=rounds, **options)
+    parts = dense_batches(perceptron.cut_batches(df, tasks, 40, 5), 12)
+    assert sum(len(y) for b in parts.values() for _, y in b) == 250 and len(parts) == tasks
+    w, losses = adam_by_hand(parts, perceptron.start_weights(12, 7, 3, 5), 12, 5)
+    assert model.losses == pytest.approx(losses, abs=1e-10)
+    assert all(np.abs(a - b).max() < 1e-10 for a, b in zip(model.weights, w))
+
+
+def test_perceptron_learns_what_no_line_can(spark):
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1, 1, (600, 2))
+    y = (x[:, 0] * x[:, 1] > 0).astype(int)
+    df = frame(spark, x, y, dense=True)
+    clf = classify.Classifier("mlp", rate=0.02).fit(df)
+    rows = clf.predict(df).collect()
+    assert np.mean([r.prediction == r.label for r in rows]) > 0.95 and len(clf._model.losses) <= 200
+    assert all(sum(r.proba.values()) == pytest.approx(1.0) and r.prediction == max(r.proba, key=r.proba.get) for r in rows)
+    assert classify.Classifier("svc").fit(df).predict(df).where("prediction = label").count() < 400
