@@ -8,7 +8,7 @@ cut there and every piece between two cuts is encoded on its own. Decoding conca
 bytes of the ids.
 
 Null and empty texts give no ids. Rows are encoded one by one: repeated ids, null ids and
-repeated texts each keep their row (long texts: one row for each distinct id and text). Extra
+repeated texts each keep their row; long rows that repeat both are encoded once and counted. Extra
 columns are not read.
 """
 
@@ -149,6 +149,7 @@ def _join_pieces(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "doc_id": table.column("doc_id").slice(0, 1),
+            "key": table.column("key").slice(0, 1),
             "n_tokens": pa.array([sum(table.column("n_tokens").to_pylist())], pa.int64()),
             "ids": pa.array([b"".join(parts[i] for i in order)], pa.binary()),
         }
@@ -195,14 +196,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, chunk: int = CHUNK
     joined = (
         pieces.mapInArrow(_encode_rows(ranks_path, pattern, ["doc_id", "key", "chunk_no"]), "doc_id long, key long, chunk_no int, n_tokens long, ids binary")
         .groupBy("doc_id", "key")
-        .applyInArrow(_join_pieces, "doc_id long, n_tokens long, ids binary")
+        .applyInArrow(_join_pieces, "doc_id long, key long, n_tokens long, ids binary")
     )
     rest = (
         join_by(long, whole, ["doc_id", "key"], "left_semi")
         .dropDuplicates(["doc_id", "key"])
-        .mapInArrow(_encode_rows(ranks_path, pattern, ["doc_id"]), "doc_id long, n_tokens long, ids binary")
+        .mapInArrow(_encode_rows(ranks_path, pattern, ["doc_id", "key"]), "doc_id long, key long, n_tokens long, ids binary")
     )
-    return short.unionByName(joined).unionByName(rest)
+    # rows that repeat id and text were encoded once and come back as often as they were
+    repeats = stored(long.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1"), "bpe_repeats")
+    counted = join_by(joined.unionByName(rest), repeats, ["doc_id", "key"], "left")
+    each = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_times", F.lit(1).cast("long")))))
+    return short.unionByName(each.select("doc_id", "n_tokens", "ids"))
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
