@@ -17,7 +17,7 @@ def con(sf_dir):
     return c
 
 
-NAMES = [n for n in entry.queries() if n.startswith(FAST) and n in entry.oracle_sql() and not n.startswith(("a7", "f2"))]
+NAMES = [n for n in entry.queries() if n.startswith(FAST) and n in entry.oracle_sql() and not n.startswith(("a7", "f2")) and "stored" not in n]
 
 
 @pytest.mark.parametrize("name", NAMES)
