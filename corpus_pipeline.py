@@ -17,25 +17,30 @@ from rankloom.llm.tables import join_by, stored
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def _same_columns(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """``kept`` with the columns of ``docs``, whatever they are called."""
+    return kept.select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity model rejects (score 0.5 or more)."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rejected = stored(toxicity.score(docs, model).where("predicted = 1").select("doc_id").distinct(), "rejected")
-    return join_by(docs, rejected, ["doc_id"], "left_anti").select(*docs.columns)
+    return _same_columns(join_by(docs, rejected, ["doc_id"], "left_anti"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
     groups = jaccard_join.jaccard_components(docs, n=5, percent=80)
     copies = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return join_by(docs, copies, ["doc_id"], "left_anti").select(*docs.columns)
+    return _same_columns(join_by(docs, copies, ["doc_id"], "left_anti"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a window of a benchmark item."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return join_by(docs, hit, ["doc_id"], "left_anti").select(*docs.columns)
+    return _same_columns(join_by(docs, hit, ["doc_id"], "left_anti"), docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +48,7 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     clean = pii.sanitise(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return _same_columns(clean, docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
