@@ -1,8 +1,8 @@
-"""Removal of byte strings that already start in an earlier document: doubling with discarding.
+"""Removal of byte strings that already start in an earlier document, by minimisers.
 
 Every byte covered by a ``length``-byte string that also starts in a document with a smaller id goes.
-Prefix doubling ranks all positions by strings of growing length and drops positions whose rank is
-unique. Here the positions that enter are minimisers: of each ``length``-byte window the right-most
+Prefix doubling would sort a pair of ranks for every position, round after round; the README says what its first
+round costs here. Instead only minimisers enter: of each ``length``-byte window the right-most
 smallest hash of its ``gram``-byte strings. The choice depends on the window's bytes alone, so equal
 windows choose the same place, and one in about ``(length - gram) / 2`` positions is enough.
 
@@ -12,7 +12,8 @@ windows choose the same place, and one in about ``(length - gram) / 2`` position
 3. Where one ``gram``-byte string is left with several longer ones (the edges of repeats), their windows
    are ranked by all ``length`` bytes, one representative document per rank of step 2.
 
-Ranks are 64-bit hashes, so naming needs no global sort. Positions travel packed, a block per slice of
+Ranks are hashes (of a gram 40 bits travel besides its shard, of a rank 48), so naming needs no global sort.
+Positions travel packed, a block per slice of
 text and shard; within a slice only the smallest document of a rank is sent, so a string that a third of
 all documents hold arrives once per slice. Texts longer than a slice are read in parts; windows cut by
 that are settled in step 3.
