@@ -44,6 +44,7 @@ GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 MIN_TERM_CHARS = 2
 BLOOM_BITS = 1 << 24
+_SLICE_BITS = 8
 
 # the local part is found backwards from each @, so that long runs without one cost nothing
 _LOCAL_BACKWARDS = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -200,13 +201,34 @@ def _count_terms(bloom: np.ndarray):
             terms, at = np.unique(np.concatenate([terms, w[new]]), return_inverse=True)
             counts = np.bincount(at, weights=np.concatenate([counts, share[r[new]]]), minlength=len(terms))
             if len(terms) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
+                yield _sliced(terms, counts)
                 terms, counts = np.zeros(0, np.uint64), np.zeros(0)
-        yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
+        yield _sliced(terms, counts)
 
     return run
 
 
+def _sliced(terms: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Ascending terms with their counts, one row per range of terms: tasks know much the same terms, and a row for each
+    term of each task would outgrow the texts."""
+    cuts = np.searchsorted(terms >> np.uint64(64 - _SLICE_BITS), np.arange(1, 1 << _SLICE_BITS))
+    bounds = np.concatenate([[0], cuts, [len(terms)]])
+    used = np.flatnonzero(np.diff(bounds))
+    part = lambda a: pa.array([a[bounds[i] : bounds[i + 1]].tobytes() for i in used], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), part(terms), part(counts)], ["slice", "t", "n"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed counts of the terms of a partition, whose slices are whole."""
+    terms, counts = np.zeros(0, np.uint64), np.zeros(0)
+    for batch in batches:
+        more = np.frombuffer(b"".join(batch.column("t").to_pylist()), np.uint64)
+        numbers = np.frombuffer(b"".join(batch.column("n").to_pylist()))
+        terms, at = np.unique(np.concatenate([terms, more]), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([counts, numbers]), minlength=len(terms))
+    yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["t", "n"])
+
+
 def _found(docs: DataFrame, window: int, z: float, generalise_at: float, remove_at: float, bloom_bits: int) -> tuple[DataFrame, DataFrame]:
     """Base rows of all documents, and ``doc_id, key, terms`` of those with disclosive terms."""
     rows = doc_rows(docs).withColumn("key", F.xxhash64("text"))
@@ -225,7 +247,8 @@ def _found(docs: DataFrame, window: int, z: float, generalise_at: float, remove_
     pairs = stored(pairs.join(n_e, "e").where(disclosure(F.col("n_et")) >= generalise_at), "pii_pairs")
     copies = stored(base.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "pii_copies")
     weighed = join_by(rows, copies, ["key"], "left").select("text", F.coalesce("times", F.lit(1)).alias("times"))
-    counted = weighed.mapInArrow(_count_terms(bloom_words(pairs, "t", bloom_bits)), "t long, n double")
+    sliced = weighed.mapInArrow(_count_terms(bloom_words(pairs, "t", bloom_bits)), "slice int, t binary, n binary")
+    counted = sliced.repartition("slice").mapInArrow(_merged, "t long, n double")
     n_t = counted.groupBy("t").agg(F.round(F.sum("n")).alias("n_t"))
     flagged = (
         pairs.join(n_t, "t")
