@@ -23,36 +23,37 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from rankloom.llm.kernels import NON_SPACE, blobs, give_back, span_hashes, text_slices, word_spans
+from rankloom.llm.shared_files import open_folder, qualified
 from rankloom.llm.tables import doc_rows, stored
 
 FRAME_BYTES = 1 << 20
 SHARD_BYTES = 64 << 20
 _SEEK_MAGIC, _INDEX_MAGIC, _FOOTER_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
-_CACHE = 400_000
+_CACHE = 800_000
+_SLICE = 4 << 20
+_TOGETHER = 500  # parts in one call of the library
 
 _tokenizers: dict[str, Tokenizer] = {}
+_encoders: dict[str, "WordEncoder"] = {}  # a worker process keeps what its tasks have learned
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a file, loaded once per worker process; special tokens in a text are text."""
+    """The tokenizer of a file as the library loads it, once per worker process."""
     if path not in _tokenizers:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on each core
-        loaded = Tokenizer.from_file(path)
-        loaded.encode_special_tokens = True
-        _tokenizers[path] = loaded
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
@@ -88,10 +89,23 @@ class WordEncoder:
         self.words, self.sizes, self.seen = self.words[keep], self.sizes[keep], self.seen[keep] >> 1
         self.at = np.cumsum(self.sizes) - self.sizes
 
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the parts, and the number of ids of each.
+
+        Many parts are one text for the library, as a text of its own costs it more than the part; where an id
+        starts in that text tells whose it is.
+        """
+        runs = [parts[i : i + _TOGETHER] for i in range(0, len(parts), _TOGETHER)]
+        ids, sizes = [], []
+        for run, e in zip(runs, self.tokenizer.encode_batch([" ".join(run) for run in runs], add_special_tokens=False)):
+            lengths = np.fromiter(map(len, run), np.int64, len(run)) + 1
+            at = np.fromiter(map(itemgetter(0), e.offsets), np.int64, len(e))
+            ids.append(np.fromiter(e.ids, np.uint32, len(e)))
+            sizes.append(np.bincount(np.searchsorted(np.cumsum(lengths), at, side="right"), minlength=len(run)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def _learn(self, words: np.ndarray, parts: list[str]) -> None:
-        done = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, done), np.int64, len(done))
-        ids = np.fromiter(chain.from_iterable(done), np.uint32, int(sizes.sum()))
+        ids, sizes = self._encoded(parts)
         at = len(self.ids) + np.cumsum(sizes) - sizes
         self.ids = np.concatenate([self.ids, ids])
         merged = np.concatenate([self.words, words])
@@ -120,14 +134,22 @@ class WordEncoder:
         return self.ids[_places(self.at[each], counts)], per_row
 
 
-def _encode(path: str, end_id: int, width: int):
+def _encode(path: str, end_id: int, width: int, edges: np.ndarray):
+    """Ids of each row, and its shard: the number of ``edges`` at or below its id, null being below all."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
-        for part, data, offsets in text_slices(batches, "text"):
+        if path not in _encoders:
+            _encoders[path] = WordEncoder(path)
+        encoder = _encoders[path]
+        for part, data, offsets in text_slices(batches, "text", _SLICE):
             ids, counts = encoder.encode(data, offsets)
             closed = np.insert(ids, np.cumsum(counts), end_id).astype(f"<u{width}")
             ends = np.concatenate([[0], np.cumsum(counts + 1)])
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("shard", "doc_id", "tie")), blobs(closed.tobytes(), ends * width)], ["shard", "doc_id", "tie", "ids"])
+            ids_of = part.column("doc_id")
+            known = ids_of.is_valid().to_numpy(zero_copy_only=False)
+            shard = np.where(known, np.searchsorted(edges, ids_of.fill_null(0).to_numpy(zero_copy_only=False), side="right"), 0)
+            columns = [pa.array(shard.astype(np.int32)), ids_of, part.column("tie"), blobs(closed.tobytes(), ends * width)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "tie", "ids"])
 
     return run
 
@@ -224,13 +246,9 @@ class FrameReader:
         return [(d, ids) for i in sorted(frames) for d, ids in self.frame(i) if d in keep]
 
 
-def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def _write(folder: str, width: int, frame_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = open_store(folder)
+        store, base = open_folder(folder)
         writer, shard, temporary, docs, ids = None, None, "", 0, 0
 
         def close() -> pa.RecordBatch:
@@ -269,27 +287,21 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, *, end_id: i
     # bounds that cut the bytes about evenly; how even they are doesn't change the result
     edges: list[int] = []
     if shards > 1:
-        sample = rows.select(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], F.lit(10_000)).alias("q")).first()["q"]
-        edges = sorted(set(sample or []))
-    shard = F.lit(0)
-    if edges:
-        shard = _bucket(F.col("doc_id"), edges)
+        accuracy = max(10_000, 20 * shards)  # so that bounds stay apart however many shards there are
+        edges = sorted(set(rows.select(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], F.lit(accuracy)).alias("q")).first()["q"] or []))
     width = 2 if tokenizer(tokenizer_path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
-    store, base = open_store(folder)
+    folder = qualified(docs.sparkSession, folder)
+    store, base = open_folder(folder)
     store.create_dir(base)
-    keyed = rows.withColumn("shard", shard.cast("int")).withColumn("tie", F.xxhash64("text"))
-    ids = keyed.mapInArrow(_encode(tokenizer_path, end_id, width), "shard int, doc_id long, tie long, ids binary")
-    spread = ids.repartition(max(len(edges) + 1, 1), "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie")
+    keyed = rows.withColumn("tie", F.xxhash64("text"))
+    ids = keyed.mapInArrow(_encode(tokenizer_path, end_id, width, np.array(edges, np.int64)), "shard int, doc_id long, tie long, ids binary")
+    # a shard is a partition of its own
+    spread = ids.repartitionById(len(edges) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie")
     files = stored(spread.mapInArrow(_write(folder, width, frame_bytes), "shard int, path string, n_docs long, n_ids long"), "token_files")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return files.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _bucket(value, edges: list[int]):
-    """Number of edges at or below ``value``; null is 0."""
-    return F.coalesce(F.size(F.filter(F.lit(edges), lambda e: e <= value)), F.lit(0))
-
-
 def read_tokens(files: DataFrame, wanted: list[int] | None = None) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document of ``files`` (``path, base``), checksums verified.
 
@@ -299,7 +311,7 @@ def read_tokens(files: DataFrame, wanted: list[int] | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):
-                store, name = open_store(path)
+                store, name = open_folder(path)
                 with store.open_input_file(name) as source:
                     reader = FrameReader(source)
                     if wanted is not None:
