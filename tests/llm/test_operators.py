@@ -151,20 +151,42 @@ def test_components_path(spark):
     assert {r.node: r.component for r in components(edges).collect()} == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
 
 
-def test_product_quantiser(spark):
+def linked(x, threshold=0.9):
+    """Numbers of links and smallest reachable positions, by brute force."""
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= threshold
+    root = np.arange(len(x))
+    while (root != (new := np.where(near, root[None, :], len(x)).min(axis=1))).any():
+        root = new
+    return near.sum(axis=1) - 1, root
+
+
+@pytest.mark.parametrize("reach", [product_quantiser.REACH, None])
+def test_product_quantiser(spark, reach):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 16))
     x[100:160] = x[0] + rng.normal(size=(60, 16)) * 0.3
     x[200:220] = x[1]
-    rows = [(i, [float(v) for v in x[i]]) for i in range(300)] + [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("class", F.lit("c"))
-    got = {r.vec_id: r for r in product_quantiser.near_duplicates(df, block=32).collect()}
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    near = unit @ unit.T >= 0.9
-    true = near.sum(axis=1) - 1
-    found = np.array([got[i].n_links for i in range(300)])
-    assert (found <= true).all() and found.sum() >= 0.9 * true.sum() and (found[200:220] >= 20).all()
-    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in (900, 901, 902, 903))
+    narrow = np.vstack([rng.normal(size=(1, 2)).repeat(2, axis=0), rng.normal(size=(40, 2))])
+    extreme = np.array([[1e-200, 2e-200, 0], [1e200, 2e200, 0], [1.0, -2.0, 1e-300], [5e-324, 1e-323, 0]])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(500 + i, v.tolist()) for i, v in enumerate(narrow)] + [(600 + i, v.tolist()) for i, v in enumerate(extreme)]
+    rows += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0]), (904, []), (905, [1.0, None]), (906, [float("inf"), 1.0])]
+    rows += [(None, [7.0, 7.0, 7.0, 7.0]), (700, [1.0, 1.0, 1.0, 1.0]), (700, [1.0, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("class", F.lit("c")).withColumn("width", F.lit("w")).withColumn("list", F.lit(1))
+    out = product_quantiser.near_duplicates(df, block=32, reach=reach).collect()
+    got = {r.vec_id: r for r in out}
+    assert len(out) == len(rows)
+    for first, some in ((0, x), (500, narrow), (600, extreme)):
+        links, root = linked(some)
+        found = np.array([got[first + i].n_links for i in range(len(some))])
+        assert (found <= links).all() and found.sum() >= (0.99 if reach else 1) * links.sum()
+        if (found == links).all():
+            assert [(got[first + i].component_id, got[first + i].kept) for i in range(len(some))] == [(first + r, r == i) for i, r in enumerate(root.tolist())]
+    assert got[600].n_links == 2 and got[602].n_links == 0 and (np.array([got[i].n_links for i in range(200, 220)]) >= 20).all()
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(900, 907))
+    # repeated and null ids keep their rows and link like others
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id) for r in out if r.vec_id in (None, 700)) == [(0, 2, 700), (700, 2, 700), (700, 2, 700)]
     assert product_quantiser.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -176,7 +198,7 @@ def test_product_quantiser_probes_every_link(threshold):
     quantiser = product_quantiser.Quantiser(np.array([[0.5, 0.4], [0.5, -0.4]]), np.zeros((1, 1, 2)), np.array([0, 2]))
     x = np.array([one, two])
     lists = quantiser.encode(x)[0]
-    probes = quantiser.probes(x, lists, product_quantiser._margin(threshold))
+    probes = quantiser.probes(x, lists, product_quantiser._margin(threshold, 2))
     assert lists[0] != lists[1] and (lists[1] in probes[0] or lists[0] in probes[1])
 
 
@@ -244,10 +266,13 @@ def toxicity_hashes(words):
 def test_byte_bpe(spark, docs, chunk, overlap):
     rows = docs | {70: " \n\t b's  " * 90, 71: "word   " * 100 + "\t\t\n" * 200 + "zz"}
     enc = byte_bpe.encoding(RANKS, P.PATTERN)
-    got = byte_bpe.decode(byte_bpe.encode(frame(spark, rows), RANKS, P.PATTERN, chunk=chunk, overlap=overlap), RANKS).collect()
-    assert len(got) == len(rows)
+    again = [(7, rows[7]), (70, rows[70]), (70, rows[70]), (71, rows[71]), (71, "other " * 300), (None, rows[71]), (None, rows[71]), (None, None)]
+    every = [*rows.items(), *again]
+    df = spark.createDataFrame([(i, t, "k", 1, "s", "c", "l") for i, t in every], SCHEMA)
+    got = byte_bpe.decode(byte_bpe.encode(df, RANKS, P.PATTERN, chunk=chunk, overlap=overlap), RANKS).collect()
+    assert Counter((r.doc_id, bytes(r.decoded).decode()) for r in got) == Counter((i, t or "") for i, t in every)
     for r in got:
-        text = rows[r.doc_id] or ""
+        text = bytes(r.decoded).decode()
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(text) and bytes(r.decoded).decode() == text
 
 
@@ -271,17 +296,19 @@ def test_repeated_spans(spark, docs, monkeypatch, length, gram):
 
 def test_token_files(spark, docs, tmp_path):
     path = P.path("word_bpe_49k.json")
+    specials = {200: "a <|endoftext|> b", 201: "x<|endoftext|>y <|startoftext|>", 202: "<|ENDOFTEXT|>", 203: "<|endoftext|><|endoftext|>\n<| endoftext |>"}
+    docs = docs | specials
     files = token_files.write_tokens(frame(spark, docs), path, str(tmp_path / "tokens"), end_id=2, shard_bytes=3000, frame_bytes=500)
     assert files.count() > 1
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
+    assert len(plain.encode("<|endoftext|>", add_special_tokens=False).ids) == 1
     got, start = {r.doc_id: r for r in token_files.read_tokens(files).collect()}, 0
     for i in sorted(docs):
         ids = plain.encode(docs[i] or "", add_special_tokens=False).ids + [2]
         assert (got[i].start, np.frombuffer(got[i].ids, "<u4").tolist()) == (start, ids)
         start += len(ids)
     assert {r.doc_id for r in token_files.read_tokens(files, [5, 60]).collect()} == {5, 60}
-    damaged = files.orderBy("shard").first()["path"]
+    damaged = files.orderBy("shard").first()["path"].removeprefix("file:")
     raw = bytearray(open(damaged, "rb").read())
     raw[20] ^= 255
     open(damaged, "wb").write(raw)
@@ -339,24 +366,56 @@ def test_context_tree(spark, docs):
 
 
 def test_context_tree_deep(spark, docs, monkeypatch):
-    """The default goes seven bytes back: what six bytes can't tell apart is learned; groups of subtrees agree with one tree."""
+    """Seven bytes back: what six bytes can't tell apart is learned; groups of subtrees agree with one tree."""
     monkeypatch.setattr(context_tree, "GROUP_KEYS", 20)
     rnd = random.Random(9)
     pairs = [(a + "-same-" + b) for a, b in zip("abcd", "wxyz")]
     rows = {i: " ".join(rnd.choices(pairs, k=60)) for i in range(60)}
-    deep, flat = ({r.doc_id: r for r in context_tree.score_texts(frame(spark, rows), page_bytes=4000, shard_bytes=4000, **how).collect()} for how in ({}, {"depth": 4}))
+    deep, flat = ({r.doc_id: r for r in context_tree.score_texts(frame(spark, rows), page_bytes=4000, shard_bytes=4000, **how).collect()} for how in ({"depth": 7}, {"depth": 4}))
     held = [i for i in rows if deep[i].held_out]
     assert held and all(deep[i].score > 0.9 * flat[i].score for i in held)  # scores are negative
-    train = [np.frombuffer(("\0" * 7 + t + "\0").encode(), np.uint8) for i, t in rows.items() if not deep[i].held_out]
-    strings = Counter(int.from_bytes(x[p : p + 8].tobytes(), "big") for x in train for p in range(len(x) - 7))
+    number = lambda x, p: int.from_bytes(x[p : p + 7][::-1] + x[p + 7 : p + 8], "big")  # the nearest byte first
+    train = [("\0" * 7 + t + "\0").encode() for i, t in rows.items() if not deep[i].held_out]
+    strings = Counter(number(x, p) for x in train for p in range(len(x) - 7))
     codes = np.array(sorted(strings), np.uint64)
     levels = context_tree.build_levels(codes, np.array([strings[int(c)] for c in codes]), 7, 0)
     for i in held:
         x = ("\0" * 7 + rows[i] + "\0").encode()
-        asked = np.array([int.from_bytes(x[p : p + 8], "big") for p in range(len(x) - 7)], np.uint64)
+        asked = np.array([number(x, p) for p in range(len(x) - 7)], np.uint64)
         assert math.isclose(deep[i].score, context_tree.byte_scores(asked, levels, 7).sum(), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("depth", [5, 7])
+def test_context_tree_equals_one_node_at_a_time(spark, docs, depth):
+    """Counts of each context in plain dictionaries, at the depth that is run."""
+    some = {i: docs[i] for i in (0, 1, 5, 7, 8, 9, 10, 11, 12, 13, 60)}
+    got = {r.doc_id: r.score for r in context_tree.score_texts(frame(spark, some), depth=depth, page_bytes=500, shard_bytes=500).collect()}
+    raw = {i: b"\0" * depth + (t or "").encode() + b"\0" for i, t in some.items()}
+    nodes = Counter()
+    for i, x in raw.items():
+        for p in range(depth, len(x)) if zlib.crc32(str(i).encode()) % 5 != 1 else ():
+            nodes.update((x[p - d : p], 1 << k | x[p] >> (8 - k), x[p] >> (7 - k) & 1) for d in range(depth + 1) for k in range(8))
+    lg = math.lgamma
+    below, weigh = Counter(), {}
+    for context, node in sorted({n[:2] for n in nodes}, key=lambda n: -len(n[0])):
+        a, b = nodes[context, node, 0], nodes[context, node, 1]
+        own = lg(a + 0.5) + lg(b + 0.5) - lg(a + b + 1) - math.log(math.pi)
+        last = len(context) == depth
+        weigh[context, node] = (1.0 if last else 1 / (1 + math.exp(min(below[context, node] - own, 700))), (b + 0.5) / (a + b + 1))
+        below[context[1:], node] += own if last else np.logaddexp(own, below[context, node]) - math.log(2)
+    for i, x in raw.items():
+        want = 0.0
+        for p in range(depth, len(x)):
+            for k in range(8):
+                node, bit, prob = 1 << k | x[p] >> (8 - k), x[p] >> (7 - k) & 1, None
+                for d in range(depth, -1, -1):
+                    if (found := weigh.get((x[p - d : p], node))) is not None:
+                        own = found[1] if bit else 1 - found[1]
+                        prob = own if prob is None else found[0] * own + (1 - found[0]) * prob
+                want += math.log10(0.5 if prob is None else prob)
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+
+
 def test_kneser_ney(spark, docs):
     rnd = random.Random(8)
     rows = docs | {i: " ".join(rnd.choices(WORDS, k=40)) for i in range(100, 200)} | {i: "".join(rnd.choices("#%&*zqxj", k=200)) for i in range(300, 310)}
