@@ -19,6 +19,7 @@ HEADLINE = (
     "j6_all_pairs_topk",
     "h4_hybrid_search",
     "c5_naive_bayes",
+    "c5_naive_bayes_50k",
     "k4_pair_rerank",
     "m6_evaluate_many_k",
     "o1_hybrid_submission",

@@ -17,7 +17,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rankloom.functions.text import ngrams, word_tokens
-from rankloom.operators.common import global_position, hash_rank, join_bounded, materialise
+from rankloom.operators.common import fits_broadcast, global_position, hash_rank, join_heavy, materialise
 from rankloom.operators.dense import encode_texts
 from rankloom.operators.lexical import LENGTH_ROW, count_terms, smoothed_idf
 from rankloom.operators.linear import fit_svm, pack
@@ -78,6 +78,14 @@ def stratified_split(
     return ranked.withColumn("split", split).drop("rn", "group_size")
 
 
+def _join_terms(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows with what a table knows of their terms. A table too large to broadcast is shuffled once: common terms are
+    joined where their rows are, so neither side is repeated."""
+    if fits_broadcast(table):
+        return rows.join(F.broadcast(table), key)
+    return join_heavy(materialise(rows), table, key)
+
+
 def gram_counts(
     df: DataFrame, text_col: str = "text", ngram_range: tuple[int, int] = NGRAM_RANGE, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -106,7 +114,7 @@ class FeatureModel:
         One exchange: a row's weights and its length come from the same aggregate.
         """
         counts = gram_counts(df, text_col, self.ngram_range, keep)
-        known = join_bounded(counts, self.vocabulary.select("term", "idx", "df"), "term", salt_by="row_id")
+        known = _join_terms(counts, self.vocabulary.select("term", "idx", "df"), "term")
         if self.kind == "count":
             weight = F.col("tf").cast("double")
         else:
@@ -190,7 +198,7 @@ class NaiveBayesModel:
         classes = self.prior.agg(F.collect_list(F.struct("category", "logprior")).alias("c")).scalar()
         base = rows.select("row_id", F.explode(classes).alias("_c")).select("row_id", "_c.category", "_c.logprior")
         votes = (
-            join_bounded(features.select("row_id", "idx", "weight"), self.likelihood, "idx", salt_by="row_id")
+            _join_terms(features.select("row_id", "idx", "weight"), self.likelihood, "idx")
             .groupBy("row_id", "category")
             .agg(F.sum(F.col("weight") * F.col("logp")).alias("v"))
         )

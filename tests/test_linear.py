@@ -199,3 +199,17 @@ def test_perceptron_learns_what_no_line_can(spark):
     assert np.mean([r.prediction == r.label for r in rows]) > 0.95 and len(clf._model.losses) <= 200
     assert all(sum(r.proba.values()) == pytest.approx(1.0) and r.prediction == max(r.proba, key=r.proba.get) for r in rows)
     assert classify.Classifier("svc").fit(df).predict(df).where("prediction = label").count() < 400
+
+
+def test_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
+    rows = [(str(i), "common " + " ".join(f"t{j % 17}" for j in range(i, i + 6)), "abc"[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id string, text string, label string")
+
+    def probabilities():
+        model = classify.fit_features(df)
+        nb = classify.fit_naive_bayes(model.transform(df, keep=["label"]), df.select("row_id", "label"), model.vocabulary)
+        return {(r.row_id, r.category): round(r.p, 9) for r in nb.probabilities(model.transform(df), df).collect()}
+
+    want = probabilities()
+    monkeypatch.setattr(classify, "fits_broadcast", lambda table: False)
+    assert probabilities() == want and len(want) == 180
