@@ -234,3 +234,22 @@ def test_filling_by_position_gives_the_same_run(spark, monkeypatch, method):
     assert rows() == want and len(want) == 15
     with pytest.raises(ValueError, match="can't fill a ranking"):
         lexical.bm25_search(lexical.fit_lexical(docs), queries, 6)
+
+
+def test_blocks_of_any_size_give_the_same_ranking(spark, monkeypatch):
+    """Pairs of query and document are summed block by block; ids that repeat count as one document."""
+    from rankloom.operators import lexical
+
+    rows = [(i % 50, " ".join(f"w{(i * j) % 17}" for j in range(1, 2 + i % 9))) for i in range(60)] + [(None, "w1 w2 w2")]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    queries = spark.createDataFrame([(i, f"w{i} w{i + 3} w{i} none") for i in range(12)] + [(3, "w5 w1")], "qid long, content string")
+    index = lexical.fit_lexical(docs)
+    ranked = lambda run: sorted((r.qid, r.rank, r.doc_id or -1, round(r.score, 9)) for r in run.collect())
+    whole = {m: ranked(lexical.bm25_search(index, queries, 5, m)) for m in lexical.BM25_METHODS}
+    cosine = ranked(lexical.tfidf_search(lexical.fit_tfidf(docs.where("doc_id is not null")), queries, 5))
+    monkeypatch.setattr(lexical, "BLOCK_POSTINGS", 40)
+    monkeypatch.setattr(lexical, "BLOCK_WEIGHTS", 9)
+    for m in lexical.BM25_METHODS:
+        run = lexical.bm25_search(index, queries, 5, m)
+        assert ranked(run) == whole[m]
+    assert ranked(lexical.tfidf_search(lexical.fit_tfidf(docs.where("doc_id is not null")), queries, 5)) == cosine
