@@ -253,3 +253,19 @@ def test_blocks_of_any_size_give_the_same_ranking(spark, monkeypatch):
         run = lexical.bm25_search(index, queries, 5, m)
         assert ranked(run) == whole[m]
     assert ranked(lexical.tfidf_search(lexical.fit_tfidf(docs.where("doc_id is not null")), queries, 5)) == cosine
+
+
+def test_small_products_do_not_multiply_copies(spark, monkeypatch):
+    """``chunk_bytes`` bounds a product; how often a vector travels depends on ``BLOCK_BYTES`` alone."""
+    from rankloom.operators import dense
+
+    v = spark.range(60).select(F.col("id").alias("doc_id"), F.expr("transform(sequence(1, 4), i -> sin(id * i + i))").alias("embedding"))
+    q = v.select(F.col("doc_id").alias("qid"), "embedding")
+    grids, grid = [], dense._grid
+    monkeypatch.setattr(dense, "_grid", lambda *a: grids.append(a[-1]) or grid(*a))
+    rows = lambda run: sorted((r.qid, r.rank, r.doc_id) for r in run.collect())
+    small = rows(dense.knn_search(v, q, 3, assume_normalized=False, chunk_bytes=200))
+    assert grids == [(1, 1), (1, 1)]
+    monkeypatch.setattr(dense, "FOUND_ROWS", 30)  # ten queries of three results
+    assert rows(dense.knn_search(v, q, 3, assume_normalized=False)) == small
+    assert grids[2] == (6, 1)
