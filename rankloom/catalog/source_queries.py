@@ -89,11 +89,15 @@ def _array_lines(batches):
     yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], ["value"])
 
 
+ARRAY_BYTES = 16 << 20
+
+
 def json_array_ranges(spark, sf):
     """All documents in one array per task that wrote them, read in ranges much smaller than these files."""
     path = scratch_path(spark, "ranges")
-    records = _json_records(fx.raw_docs(spark, sf), "doc_id").coalesce(2)
-    records.mapInArrow(_array_lines, "value string").write.text(path)
+    records = _json_records(fx.raw_docs(spark, sf), "doc_id")
+    size = records.agg(F.sum(F.octet_length("value")).alias("n")).first()["n"] or 0
+    records.coalesce(max(2, size // ARRAY_BYTES)).mapInArrow(_array_lines, "value string").write.text(path)
     docs = corpus.read_records(spark, path, range_bytes=1 << 18)
     return docs.select("doc_id", F.md5("text").alias("digest"), "title", F.array_join("tags", ",").alias("tags"), "category")
 

@@ -25,22 +25,28 @@ from rankloom.sources.files import list_files, open_uri
 
 RANGE_BYTES = 64 << 20
 PIECE = 4 << 20
+BEHIND = 1 << 14
+TASK_BYTES = 16 << 20  # beyond OWN_TASKS small ranges share a task
+OWN_TASKS = 1024
 BATCH_BYTES = 4 << 20
 _QUOTE, _BACKSLASH, _COMMA = b'"\\,'
 _SPACE = b" \t\r\n"
 
 
 class Pieces:
-    """The bytes of a file from ``start`` on, piece by piece, with what is known of their quotes and brackets."""
+    """The bytes of a file from ``start`` on, piece by piece, with what is known of their quotes and brackets.
 
-    def __init__(self, source, start: int, inside: bool, depth: int):
-        self.source, self.at, self.inside, self.depth = source, start, inside, depth
+    No piece reaches over ``end``; those behind it, asked for until an element is whole, are short.
+    """
+
+    def __init__(self, source, start: int, end: int, inside: bool, depth: int):
+        self.source, self.at, self.end, self.inside, self.depth = source, start, end, inside, depth
         self.backslashes = _run_before(source, start)
 
     def __iter__(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """``position, bytes, inside a string, depth behind each byte``."""
         self.source.seek(self.at)
-        while raw := self.source.read(PIECE):
+        while raw := self.source.read(min(PIECE, self.end - self.at) if self.at < self.end else BEHIND):
             b = np.frombuffer(raw, np.uint8)
             place = np.arange(len(b))
             # a quote counts if the run of backslashes before it is even
@@ -82,7 +88,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             store, name = open_uri(path)
             with store.open_input_file(name) as source:
                 odd, deeper = False, [0, 0]
-                for at, b, within, _ in Pieces(source, start, False, 0):
+                for at, b, within, _ in Pieces(source, start, end, False, 0):
                     n = min(len(b), end - at)
                     b, within = b[:n], within[:n]
                     step = ((b == 0x7B) | (b == 0x5B)).astype(np.int64) - ((b == 0x7D) | (b == 0x5D))
@@ -121,7 +127,7 @@ def _rows(path: str, offsets: list[int], texts: list[str]) -> pa.RecordBatch:
 def _range_elements(source, start: int, end: int, inside: bool, depth: int) -> Iterator[tuple[int, bytes]]:
     """``offset, text`` of the elements whose separator lies in ``start … end``."""
     opened, text, first = None, bytearray(), False  # offset behind the separator; bytes so far; behind the bracket
-    for at, b, within, after in Pieces(source, start, inside, depth):
+    for at, b, within, after in Pieces(source, start, end, inside, depth):
         before = np.concatenate([[depth], after[:-1]])
         depth = int(after[-1])
         comma = (b == _COMMA) & ~within & (after == 1)
@@ -172,9 +178,10 @@ def array_elements(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
             raise ValueError(f"{name} doesn't begin with an array")
     ranges = [(name, at, min(at + range_bytes, size)) for name, size in sorted(files.items()) for at in range(0, size, range_bytes)]
 
+    tasks = min(len(ranges), max(OWN_TASKS, -(-sum(files.values()) // TASK_BYTES)))
+
     def spread(rows: list[tuple], schema: str) -> DataFrame:
-        # one range per task
-        return spark.createDataFrame(rows, schema).repartition(len(rows), F.xxhash64("path", "start"))
+        return spark.createDataFrame(rows, schema).repartition(tasks, F.xxhash64("path", "start"))
 
     scans = {(r["path"], r["start"]): r for r in spread(ranges, "path string, start long, end long").mapInArrow(_scan, _SCANS).collect()}
     ordered = [(p, s, e, *(scans[p, s][c] for c in ("odd", "deeper_outside", "deeper_inside"))) for p, s, e in ranges]

@@ -120,3 +120,31 @@ def test_a_look_up_opens_its_buckets_only(spark, tmp_path):
     filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
     assert "bucket#" in filters and " = " in filters
     assert found.join(one, "key").count() == 1
+
+
+def test_a_range_reads_its_own_bytes(tmp_path):
+    """Every range took a whole piece, sixteen times the file for ranges of a quarter of a megabyte."""
+    import pyarrow as pa
+
+    rows = [{"id": i, "text": "x" * 900} for i in range(3000)]
+    path = tmp_path / "array.json"
+    path.write_text(json.dumps(rows))
+    size, read, found = path.stat().st_size, 0, 0
+
+    class Counting:
+        def __init__(self, file):
+            self.file, self.seek = file, file.seek
+
+        def read(self, n):
+            nonlocal read
+            raw = self.file.read(n)
+            read += len(raw)
+            return raw
+
+    ranges = [(f"file:{path}", a, min(a + (1 << 18), size)) for a in range(0, size, 1 << 18)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("path", "start", "end"), r)) for r in ranges])
+    scans = [tuple(r.values()) for b in json_array._scan(iter([batch])) for r in b.to_pylist()]
+    with open(path, "rb") as file:
+        for _, start, end, inside, depth in json_array._starts([(p, a, e, *s[2:]) for (p, a, e), s in zip(ranges, scans)], {}):
+            found += sum(1 for _ in json_array._range_elements(Counting(file), start, end, inside, depth))
+    assert found == 3000 and read < 1.3 * size
