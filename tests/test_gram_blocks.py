@@ -76,3 +76,23 @@ def test_what_is_stored_stays_near_the_text(spark, monkeypatch):
     cq.QUERIES["c5_naive_bayes"](spark, "").write.format("noop").mode("overwrite").save()
     size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"]
     assert folder_bytes(folder) - before < 8 * size
+
+
+@pytest.mark.parametrize("batch", [2, 10_000])
+def test_terms_are_counted_by_batches(spark, batch):
+    """Rows of repeated and null ids count by themselves; the work was an interpreted expression per token before."""
+    from rankloom.functions.text import tech_tokens
+    from rankloom.operators.lexical import count_terms
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        rows = [(1, "x", "Red red c++"), (1, "x", "red"), (None, None, "Fish"), (2, "y", None), (3, "y", "")]
+        counted = count_terms(spark.createDataFrame(rows, "id long, k string, text string"), ["id", "k"], tech_tokens("text"))
+        assert counted.dtypes == [("id", "bigint"), ("k", "string"), ("dl", "int"), ("term", "string"), ("tf", "int")]
+        assert Counter(map(tuple, counted.collect())) == Counter([
+            (1, "x", 3, "", 1), (1, "x", 3, "red", 2), (1, "x", 3, "c++", 1), (1, "x", 1, "", 1), (1, "x", 1, "red", 1),
+            (None, None, 1, "", 1), (None, None, 1, "fish", 1), (2, "y", 0, "", 1), (3, "y", 0, "", 1),
+        ])
+        assert "MapInArrow" in counted._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
