@@ -1,5 +1,7 @@
 """The squared-hinge machine and the other linear models against numpy."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -201,6 +203,56 @@ def test_perceptron_learns_what_no_line_can(spark):
     assert classify.Classifier("svc").fit(df).predict(df).where("prediction = label").count() < 400
 
 
+def csr_batch(x, y):
+    rows, columns = np.nonzero(x)
+    ptr = np.concatenate([[0], np.cumsum((x != 0).sum(axis=1))])
+    return perceptron.Batch(ptr, columns.astype(np.int32), x[rows, columns], y, x.shape[1])
+
+
+def test_a_step_makes_no_array_as_wide_as_the_vocabulary():
+    rng = np.random.default_rng(3)
+    x = np.zeros((40, 20_000))
+    x[:, :3] = 1.0  # frequent terms, rare ones, a row without any
+    x[rng.integers(0, 40, 400), rng.integers(0, 20_000, 400)] = rng.normal(size=400)
+    x[7] = 0
+    y = rng.integers(0, 2, 40)
+    w = perceptron.start_weights(20_000, 50, 2, 1)
+    state = {"w": [a.copy() for a in w], "m": [np.zeros_like(a) for a in w], "v": [np.zeros_like(a) for a in w], "t": 0.0}
+    batches = [csr_batch(x, y)]
+    tracemalloc.start()
+    losses = [perceptron.adam_epoch(state, batches, np.arange(1), 1e-4, 1e-3) for _ in range(3)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want, by_hand = adam_by_hand({0: [(x, y)]}, w, 3, 1)
+    assert losses == pytest.approx(by_hand, abs=1e-12) and all(np.abs(a - b).max() < 1e-12 for a, b in zip(state["w"], want))
+    assert peak < w[0].nbytes / 4
+
+
+def test_products_of_batches():
+    rng = np.random.default_rng(4)
+    for x in (rng.normal(size=(30, 9)), np.where(rng.random((30, 60)) < 0.2, 1.5, 0.0), np.zeros((4, 5)), np.eye(6)):
+        batch, w, delta = csr_batch(x, np.zeros(len(x), int)), rng.normal(size=(x.shape[1], 7)), rng.normal(size=(len(x), 7))
+        out = np.zeros_like(w)
+        for columns, sums in batch.back(delta):
+            assert (np.diff(columns) > 0).all()
+            out[columns] += sums
+        assert batch.times(w) == pytest.approx(x @ w, abs=1e-12) and out == pytest.approx(x.T @ delta, abs=1e-12)
+    assert csr_batch(np.ones((3, 2)), np.zeros(3, int)).dense is not None
+    twice = perceptron.Batch(np.array([0, 2, 4]), np.array([1, 1, 0, 1], np.int32), np.ones(4), np.zeros(2, int), 2)
+    assert twice.times(np.eye(2)).tolist() == [[0, 2], [1, 1]]
+
+
+def test_states_of_many_tasks_are_added_the_same_by_tasks_and_driver(spark, monkeypatch):
+    x, y = problem(n=90)
+    df = frame(spark, x, y).select(F.expr("ascii(label) - 97").alias("_y"), "features")
+    fit = lambda: perceptron.fit_perceptron(df, list("abc"), 12, hidden=5, batch=20, tasks=3, max_epochs=3)
+    here = fit()
+    monkeypatch.setattr(perceptron, "DIRECT_BYTES", 0)
+    there = fit()
+    assert here.losses == pytest.approx(there.losses, abs=1e-12)
+    assert all(np.abs(a - b).max() < 1e-12 for a, b in zip(here.weights, there.weights))
+
+
 def test_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
     rows = [(str(i), "common " + " ".join(f"t{j % 17}" for j in range(i, i + 6)), "abc"[i % 3]) for i in range(60)]
     df = spark.createDataFrame(rows, "row_id string, text string, label string")
