@@ -1,5 +1,6 @@
 """The squared-hinge machine and the other linear models against numpy."""
 
+import threading
 import tracemalloc
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rankloom.operators import classify, linear, perceptron
+from rankloom.plans import studies
 
 
 def problem(n=240, width=12, classes=3, seed=1):
@@ -253,6 +255,28 @@ def test_states_of_many_tasks_are_added_the_same_by_tasks_and_driver(spark, monk
     assert all(np.abs(a - b).max() < 1e-12 for a, b in zip(here.weights, there.weights))
 
 
+def test_an_ablation_fits_all_pairs_beside_each_other(spark, monkeypatch):
+    class Given:
+        def vectors(self, df):
+            return df
+
+    x, y = problem(n=120, classes=2)
+    df = frame(spark, np.abs(x), y).withColumn("split", F.when(F.col("row_id") % 4 == 0, "val").otherwise("train"))
+    one_by_one = {m: classify.Classifier(m).fit(df.where("split = 'train'")).predict(df.where("split = 'val'")) for m in ("nb", "svc")}
+    want = {m: p.where("label = prediction").count() / p.count() for m, p in one_by_one.items()}
+    together, fit = threading.Barrier(3), classify.Classifier.fit
+
+    def waiting(self, *args):
+        together.wait(60)
+        return fit(self, *args)
+
+    monkeypatch.setattr(classify.Classifier, "fit", waiting)
+    found = studies.feature_ablation(df, {"count": Given(), "embeddings": Given()}, ["nb", "svc"]).collect()
+    assert [(r.features, r.classifier) for r in found] == [("count", "nb"), ("count", "svc"), ("embeddings", "svc")]
+    assert all(r.accuracy == pytest.approx(want[r.classifier], abs=1e-6) for r in found)
+    assert studies.feature_ablation(df, {}, ["nb"]) is None
+
+
 def test_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
     rows = [(str(i), "common " + " ".join(f"t{j % 17}" for j in range(i, i + 6)), "abc"[i % 3]) for i in range(60)]
     df = spark.createDataFrame(rows, "row_id string, text string, label string")
