@@ -4,6 +4,8 @@ import math
 import os
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +98,29 @@ def test_terms_are_counted_by_batches(spark, batch):
         assert "MapInArrow" in counted._jdf.queryExecution().toString()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_packed_numbers_come_back():
+    rows = [[], [0], [3, 4, 200, 70_000, 2**31 - 2], [], [127, 128, 16_383, 16_384], []]
+    ends = np.append(0, np.cumsum([len(r) for r in rows]))
+    code = np.array([x for r in rows for x in r], np.int64)
+    numbers, n = gram_blocks._flat(pa.chunked_array([gram_blocks._packed(code, ends)]))
+    assert numbers.tolist() == code.tolist() and n.tolist() == [len(r) for r in rows]
+    step = np.array([x - (r[i - 1] if i else 0) for r in rows for i, x in enumerate(r)], np.int64)
+    packed = gram_blocks._packed(step, ends)
+    numbers, n = gram_blocks._flat(pa.chunked_array([packed]))
+    assert gram_blocks._risen(numbers, n).tolist() == code.tolist()
+    assert sum(len(x.as_py()) for x in packed) < 4 * len(code)
+    none = pa.chunked_array([gram_blocks._packed(np.zeros(0, np.int64), np.zeros(3, np.int64))])
+    assert [x.tolist() for x in gram_blocks._flat(none)] == [[], [0, 0]]
+
+
+def test_words_are_stored_once_and_not_with_the_sums_of_classes(spark):
+    df = spark.createDataFrame([(f"r{i}", f"red fish w{i}", "xy"[i % 2]) for i in range(40)], "row_id string, text string, label string")
+    model = classify.fit_features(df)
+    named = model.numbered.where("term is not null")
+    assert named.count() == named.select("term").distinct().count() == model.width
+    nb = classify.fit_naive_bayes(model.class_sums(), df.select("row_id", "label"), model.vocabulary)
+    assert nb.mass.columns == ["idx", "mass"] and nb.mass.count() == model.width
+    # what is stored is compressed for space
+    assert any(name.endswith(".zstd.parquet") for name in os.listdir(model.training.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]))
